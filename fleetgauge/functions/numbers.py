@@ -43,3 +43,9 @@ def average_of(centi_sum: Column | str, count: Column | str) -> Column:
     rest = magnitude % n
     ten_thousandths = whole * 100 + F.call_function("div", rest * 200 + n, n * 2)
     return F.coalesce(F.signum(s) * ten_thousandths / 10000.0, F.lit(0.0))
+
+
+def floor_div(number: Column, divisor: int) -> Column:
+    """Whole quotient rounded down, in integer arithmetic."""
+    by = F.lit(divisor).cast("bigint")
+    return F.call_function("div", number - F.pmod(number, by), by)

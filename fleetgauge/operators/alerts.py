@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetgauge.functions.numbers import floor_div
+
 
 @dataclass(frozen=True)
 class AlertRule:
@@ -31,11 +33,14 @@ FLEET_RULES = (
 _RULE_COLUMNS = "alert string, metric string, comparison string, threshold double, hold int, severity string"
 
 
-def rule_samples(samples: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
-    """Each sample ``(metric, ts, value)`` once per rule on its metric, with ``active``."""
-    table = samples.sparkSession.createDataFrame([astuple(r) for r in rules], _RULE_COLUMNS)
+def _rule_table(spark: SparkSession, rules: Iterable[AlertRule]) -> DataFrame:
+    """The rules as a table to broadcast: as many rows as the caller wrote down."""
+    return F.broadcast(spark.createDataFrame([astuple(r) for r in rules], _RULE_COLUMNS))
+
+
+def _holds() -> Column:
     value, threshold, comparison = F.col("value"), F.col("threshold"), F.col("comparison")
-    active = (
+    compared = (
         F.when(comparison == "==", value == threshold)
         .when(comparison == "!=", value != threshold)
         .when(comparison == ">", value > threshold)
@@ -45,15 +50,7 @@ def rule_samples(samples: DataFrame, rules: Iterable[AlertRule]) -> DataFrame:
     )
     # NaN compares false with everything but "!=".
     usable = value.isNotNull() & (~F.isnan(value) | (comparison == "!="))
-    return samples.join(table, "metric").select(
-        "alert",
-        "severity",
-        "metric",
-        "ts",
-        "value",
-        "hold",
-        F.coalesce(active & usable, F.lit(False)).alias("active"),
-    )
+    return F.coalesce(compared & usable, F.lit(False))
 
 
 def sustained_alerts(
@@ -61,48 +58,57 @@ def sustained_alerts(
     rules: Iterable[AlertRule] = FLEET_RULES,
     span: int = 3600,
 ) -> DataFrame:
-    """State of every rule at every sample of its metric: inactive, pending, or firing once the condition has
-    held without a break for the rule's time; ``active_since`` is the start of the current run.
+    """State of every rule at every sample ``(metric, ts, value)`` of its metric: inactive, pending, or firing
+    once the condition has held without a break for the rule's time. ``active_since`` is the start of the
+    current run.
 
-    A series may hold any share of the samples, so runs are found in spans of time: one row per span tells
-    whether the condition broke and when its last run began, which is enough to know the run a span enters
-    with.
+    A series may hold any share of the samples, so runs are found in spans of time. One row per span tells
+    whether the condition broke and when the run that leaves the span began; that gives the run each span
+    enters with.
     """
-    judged = rule_samples(samples, rules).withColumn(
-        "_span", F.call_function("div", F.unix_micros("ts"), F.lit(span * 1_000_000))
+    table = _rule_table(samples.sparkSession, tuple(rules))
+    number = floor_div(F.unix_micros("ts"), span * 1_000_000)
+    # One exchange of the samples serves both uses below; the conditions are judged behind it. The null check
+    # is the one a join would otherwise add to one use, which would then need an exchange of its own.
+    cut = (
+        samples.join(table.select("alert", "metric"), "metric")
+        .select("alert", "ts", "value", number.alias("_span"))
+        .where(F.col("_span").isNotNull())
+        .repartition("alert", "_span")
     )
-    series = ("alert", "metric")
-    inside = Window.partitionBy(*series, "_span").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    broke = F.last(F.when(~F.col("active"), F.col("ts")), ignorenulls=True)
-    in_span = judged.withColumn("_broke", broke.over(inside))
-    # Within a span a run starts with the first active sample after a break; before any break it may have
-    # started in an earlier span.
-    run = Window.partitionBy(*series, "_span", "_broke").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    in_span = in_span.withColumn("_began", F.min(F.when(F.col("active"), F.col("ts"))).over(run))
-
-    # The start carried by a span's last sample is that of the run which leaves the span, null if none does.
-    summary = in_span.groupBy(*series, "_span").agg(
-        F.max_by("_began", "ts").alias("_tail"), F.max("_broke").alias("_last_break")
+    judged = cut.join(table, "alert").withColumn("_active", _holds())
+
+    inside = Window.partitionBy("alert", "_span").orderBy("ts")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    active = F.col("_active")
+    starts = F.when(active & ~F.coalesce(F.lag("_active").over(inside), F.lit(False)), F.col("ts"))
+    followed = judged.withColumn("_start", starts).withColumns({
+        "_began": F.when(active, F.last("_start", ignorenulls=True).over(so_far)),
+        "_breaks": F.count(F.when(~active, 1)).over(so_far),
+    })
+
+    summary = followed.groupBy("alert", "_span").agg(
+        F.max_by("_began", "ts").alias("_tail"), F.max("_breaks").alias("_breaks")
     )
-    spans = Window.partitionBy(*series).orderBy("_span")
-    breaks = F.count("_last_break").over(spans.rowsBetween(Window.unboundedPreceding, 0))
-    episodes = summary.withColumn("_episode", breaks)
-    same_episode = (
-        Window.partitionBy(*series, "_episode").orderBy("_span").rowsBetween(Window.unboundedPreceding, 0)
+    spans = Window.partitionBy("alert").orderBy("_span")
+    broken = F.count(F.when(F.col("_breaks") > 0, 1))
+    episodes = summary.withColumn(
+        "_episode", broken.over(spans.rowsBetween(Window.unboundedPreceding, 0))
     )
-    leaving = episodes.withColumn("_leaves_with", F.min("_tail").over(same_episode))
-    entering = leaving.select(*series, "_span", F.lag("_leaves_with").over(spans).alias("_entered_with"))
+    in_episode = Window.partitionBy("alert", "_episode").orderBy("_span")
+    leaving = episodes.withColumn(
+        "_leaves_with", F.min("_tail").over(in_episode.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    entering = leaving.select("alert", "_span", F.lag("_leaves_with").over(spans).alias("_entered_with"))
 
-    joined = in_span.join(entering, [*series, "_span"])
+    # Before the first break of a span, an active sample belongs to the run that came in, if one did.
     since = F.when(
-        F.col("active"),
-        F.when(F.col("_broke").isNull(), F.coalesce("_entered_with", "_began")).otherwise(F.col("_began")),
-    )
-    held = F.unix_micros(since) + F.col("hold").cast("bigint") * 1_000_000 <= F.unix_micros("ts")
-    state = F.when(since.isNull(), "inactive").when(held, "firing").otherwise("pending")
-    return joined.select(
-        "alert", "severity", "metric", "ts", "value", since.alias("active_since"), state.alias("state")
-    )
+        active & (F.col("_breaks") == 0), F.coalesce("_entered_with", "_began")
+    ).otherwise(F.col("_began"))
+    joined = followed.join(entering, ["alert", "_span"]).withColumn("active_since", since)
+    held = F.unix_micros("ts") - F.unix_micros("active_since") >= F.col("hold").cast("bigint") * 1_000_000
+    state = F.when(F.col("active_since").isNull(), "inactive").when(held, "firing").otherwise("pending")
+    return joined.select("alert", "severity", "metric", "ts", "value", "active_since", state.alias("state"))
 
 
 def current_alerts(states: DataFrame) -> DataFrame:

@@ -29,23 +29,32 @@ def dedup_readings(
     keys: tuple[str, ...] = READING_KEY,
     order: str = "seq",
     delay: str = "600 seconds",
+    at_once: bool = False,
 ) -> DataFrame:
     """The first arrival of each key; readings without a key are dropped.
 
-    On a stream the key is remembered until the watermark is ``delay`` past its ``event_time``; a later copy
-    is behind the watermark and dropped as late. First-wins then follows from the order inside one input
-    partition, which a source keyed by truck gives.
+    On a stream, which needs an ``event_time``, a reading is given out when the watermark, ``delay`` behind
+    the newest event time, has passed it, and a copy that comes later than that is dropped as late. Until
+    then only the first arrival is kept, so the result is that of a table. With ``at_once`` a reading is given
+    out when it arrives and its key is remembered for ``delay``; then the first one wins as long as a key's
+    copies come through one input partition, as they do from a source keyed by truck.
     """
     keyed = with_key(readings, keys)
     if readings.isStreaming:
-        return keyed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
+        keyed = keyed.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
+        if at_once:
+            return keyed.dropDuplicatesWithinWatermark(list(keys))
+        # The watermark column has to be in the key; it follows from the timestamp text.
+        groups = (*keys, "event_time")
+    else:
+        groups = keys
 
     # One min_by per column instead of one over a struct: fixed-width buffers keep the aggregate hash-based,
-    # and columns nobody reads are pruned. event_time follows from the key, so any copy's will do; carried as
-    # a result and not as a grouping column it also keeps filters on it, and with them a second parse of the
-    # text, from being pushed below the aggregate.
-    rest = [c for c in readings.columns if c not in (*keys, order)]
-    firsts = keyed.groupBy(*keys).agg(
+    # and columns nobody reads are pruned. In a table event_time, which follows from the key so that any
+    # copy's will do, is carried as a result and not as a grouping column: filters on it, and with them a
+    # second parse of the text, could otherwise be pushed below the aggregate.
+    rest = [c for c in readings.columns if c not in (*groups, order)]
+    firsts = keyed.groupBy(*groups).agg(
         F.min(order).alias(order),
         *[(F.min(c) if c == "event_time" else F.min_by(c, order)).alias(c) for c in rest],
     )

@@ -15,7 +15,7 @@ from fleetgauge.schemas import READING_KEY
 def dataset_quality(dataset: DataFrame) -> DataFrame:
     """One row: counts, and the verdict PASS or FAIL with its reason.
 
-    ``valid`` counts the readings the pipeline would keep. ``valid_reported`` is the figure of the original
+    ``valid`` counts the readings the pipeline would keep. ``valid_reported`` is the figure of the stricter
     report, which takes null temperatures off twice.
     """
     missing = sorted(set(REQUIRED_FIELDS) - set(dataset.columns))
@@ -42,7 +42,7 @@ def dataset_quality(dataset: DataFrame) -> DataFrame:
     })
 
 
-def pipeline_totals(
+def telemetry_totals(
     readings: DataFrame,
     averages: DataFrame | None = None,
     keys: tuple[str, ...] = READING_KEY,

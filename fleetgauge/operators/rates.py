@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.config import seconds
+from fleetgauge.functions.numbers import floor_div
 from fleetgauge.operators.dedup import with_key, dedup_readings
 from fleetgauge.schemas import READING_KEY
 
@@ -85,44 +86,53 @@ def counter_rate(
     span: int = 3600,
     series: tuple[str, ...] = ("metric",),
 ) -> DataFrame:
-    """Per-second increase of a counter over the trailing ``window`` seconds, at each sample.
+    """Per-second increase of a counter over the trailing ``window`` seconds, both ends included, at each
+    sample.
 
     A value below its predecessor is a restart, and counts from zero. ``samples`` are ``(series, ts, value)``,
     one per series and instant. A series may hold any share of the samples, so it is worked on in spans of
-    time: the first sample of a span takes its predecessor from one row per earlier span, and the samples in
-    the last ``window`` seconds of a span are also shown to the next.
+    time. A span is also shown the samples of the ``window`` seconds before it, and takes the predecessor of
+    the first of those from one row per earlier span.
     """
     if span < window:
         raise ValueError("a span must be at least as long as the window")
     span_us, window_us = span * 1_000_000, window * 1_000_000
+
+    def span_at(instant: Column) -> Column:
+        return floor_div(instant, span_us)
+
     at = F.unix_micros("ts")
-    cut = samples.select(
-        *series, "ts", "value", at.alias("_at"), F.call_function("div", at, F.lit(span_us)).alias("_span")
+    own, next_shown = span_at(at), span_at(at + window_us)
+    shown = (
+        samples.select(
+            *series,
+            "ts",
+            "value",
+            F.explode(
+                F.when(own == next_shown, F.array(own)).otherwise(F.array(own, next_shown))
+            ).alias("_span"),
+        )
+        .where(F.col("_span").isNotNull())
+        .repartition(*series, "_span")
+        .withColumn("_at", at)
     )
-    spans = Window.partitionBy(*series).orderBy("_span")
+    # The samples that no later span is shown: the last of them precedes all that the next span sees.
+    settled = F.when(span_at(F.col("_at") + window_us) == F.col("_span"), F.col("_at"))
+    spans = Window.partitionBy(*series).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        cut.groupBy(*series, "_span")
-        .agg(F.max_by("value", "_at").alias("_last"))
-        .select(*series, "_span", F.lag("_last").over(spans).alias("_carried"))
+        shown.groupBy(*series, "_span")
+        .agg(F.max_by("value", settled).alias("_last"))
+        .select(*series, "_span", F.last("_last", ignorenulls=True).over(spans).alias("_carried"))
     )
     inside = Window.partitionBy(*series, "_span").orderBy("_at")
-    with_previous = cut.withColumn("_previous", F.lag("value").over(inside)).join(before, [*series, "_span"])
-    previous = F.coalesce("_previous", "_carried")
-    value = F.col("value")
-    increase = (
-        F.when(previous.isNull(), 0.0).when(value >= previous, value - previous).otherwise(value)
-    )
-    grown = with_previous.select(*series, "ts", "value", "_at", "_span", increase.alias("_increase"))
-
-    next_span = F.col("_span") + 1
-    seen_by_next = F.col("_at") >= next_span * span_us - window_us
-    shown = grown.withColumn(
-        "_shown",
-        F.explode(F.when(seen_by_next, F.array("_span", next_span)).otherwise(F.array("_span"))),
-    )
-    trailing = Window.partitionBy(*series, "_shown").orderBy("_at").rangeBetween(-window_us, 0)
-    return (
-        shown.withColumn("_sum", F.sum("_increase").over(trailing))
-        .where(F.col("_shown") == F.col("_span"))
-        .select(*series, "ts", "value", (F.col("_sum") / F.lit(float(window))).alias("rate"))
+    joined = shown.withColumn("_lag", F.lag("value").over(inside)).join(before, [*series, "_span"])
+    previous, value = F.coalesce("_lag", "_carried"), F.col("value")
+    increase = F.when(previous.isNull(), 0.0).when(value >= previous, value - previous).otherwise(value)
+    grown = joined.withColumn("_increase", increase)
+    # The difference of two running sums costs the same however many samples the window covers.
+    up_to_now = F.sum("_increase").over(inside.rangeBetween(Window.unboundedPreceding, 0))
+    up_to_window = F.sum("_increase").over(inside.rangeBetween(Window.unboundedPreceding, -window_us - 1))
+    trailing = grown.withColumn("_sum", up_to_now - F.coalesce(up_to_window, F.lit(0.0)))
+    return trailing.where(span_at(F.col("_at")) == F.col("_span")).select(
+        *series, "ts", "value", (F.col("_sum") / F.lit(float(window))).alias("rate")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.numbers import average_of, from_centi, to_centi
+from fleetgauge.functions.numbers import average_of, floor_div, from_centi, to_centi
 from fleetgauge.functions.payloads import state_key, truck_of_key
 from fleetgauge.operators.windows import partial_sums
 
@@ -25,14 +25,30 @@ def running_state(
     blocks of arrival numbers, each block gets the total of the blocks before it (from one row per block),
     and the running sum is taken inside the block.
     """
-    block_number = F.call_function("div", F.col(order), F.lit(block))
-    blocked = normalized.select(*keys, order, "temperature_centi", block_number.alias("_block"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = partial_sums(blocked, *keys, "_block").select(
-        *keys,
-        "_block",
-        F.coalesce(F.sum("centi_sum").over(earlier), F.lit(0)).alias("_sum_before"),
-        F.coalesce(F.sum("reading_count").over(earlier), F.lit(0)).alias("_count_before"),
+    block_number = floor_div(F.col(order), block)
+    # One exchange serves both branches below. To share it they must read the same columns, which is why
+    # blocks are put in order by their first arrival, and the same rows, which is why the null check that the
+    # join would add to one of them stands here.
+    blocked = (
+        normalized.select(*keys, order, "temperature_centi", block_number.alias("_block"))
+        .where(F.col("_block").isNotNull())
+        .repartition(*keys, "_block")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    carried = (
+        blocked.groupBy(*keys, "_block")
+        .agg(
+            F.min(order).alias("_first"),
+            F.sum("temperature_centi").alias("_sum"),
+            F.count("temperature_centi").alias("_count"),
+        )
+        .select(
+            *keys,
+            "_block",
+            F.coalesce(F.sum("_sum").over(earlier), zero).alias("_sum_before"),
+            F.coalesce(F.sum("_count").over(earlier), zero).alias("_count_before"),
+        )
     )
     so_far = (
         Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetgauge.config import seconds
 
+SALTS = 16
+
 
 def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: float = 3.0) -> DataFrame:
     """Readings more than ``threshold`` standard deviations from the mean of their truck's readings in the
@@ -25,5 +27,10 @@ def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: flo
     n, total = F.col("_n").cast("double"), F.col("_sum").cast("double")
     spread = F.when(F.col("_n") > 1, n * F.col("_squares").cast("double") - total * total)
     score = (F.col("temperature_centi") * n - total) / F.sqrt(F.nullif(spread, F.lit(0.0)))
-    scored = timed.join(stats, ["truck_id", "_window"]).withColumn("zscore", F.round(score, 6))
+    # A window's readings meet its one row of statistics in SALTS tasks, as a window may hold any share of
+    # the readings.
+    salt = F.pmod(F.xxhash64("truck_id", "timestamp"), F.lit(SALTS))
+    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    scored = timed.withColumn("_salt", salt).join(salted, ["truck_id", "_window", "_salt"])
+    scored = scored.withColumn("zscore", F.round(score, 6))
     return scored.where(F.abs("zscore") > threshold).select(*normalized.columns, "zscore")

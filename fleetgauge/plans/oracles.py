@@ -399,7 +399,7 @@ FROM roster""",
 SELECT {ANOMALY_COLUMNS} FROM firsts WHERE temperature > 42 ORDER BY seq DESC LIMIT 15""",
     "recent_readings": f"""{base(raw(), FIRSTS, ACCEPTED)}
 SELECT seq, truck_id, temperature, "timestamp", fuel_level FROM accepted ORDER BY seq DESC LIMIT 20""",
-    "pipeline_totals": f"""{base(raw(), STAGED, FIRSTS, NORM, windows(86400, 21600))}
+    "telemetry_totals": f"""{base(raw(), STAGED, FIRSTS, NORM, windows(86400, 21600))}
 SELECT count(*) AS total_raw, count(*) FILTER (WHERE stage = 'no_key') AS no_key,
        count(*) FILTER (WHERE stage = 'duplicate') AS duplicates,
        count(*) FILTER (WHERE stage = 'filtered') AS filtered,

@@ -343,9 +343,9 @@ def recent_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def pipeline_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     averages = window_averages(tables.normalized_readings(spark, sf_dir), DAILY)
-    return quality.pipeline_totals(tables.raw_readings(spark, sf_dir), averages)
+    return quality.telemetry_totals(tables.raw_readings(spark, sf_dir), averages)
 
 
 @query

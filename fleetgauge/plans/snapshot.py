@@ -12,7 +12,7 @@ from fleetgauge.operators.fleet import (
     recent_readings,
     roster_page,
 )
-from fleetgauge.operators.quality import pipeline_totals
+from fleetgauge.operators.quality import telemetry_totals
 from fleetgauge.operators.rates import parsed_rate, stage_rates, throughput_history
 
 
@@ -21,7 +21,7 @@ def fleet_snapshot(readings: DataFrame, averages: DataFrame) -> dict[str, DataFr
     accepted = accepted_readings(readings)
     rates = parsed_rate(stage_rates(readings, averages))
     return {
-        "totals": pipeline_totals(readings, averages),
+        "totals": telemetry_totals(readings, averages),
         "rates": rates,
         "throughput": throughput_history(rates),
         "recent_readings": recent_readings(accepted),

@@ -35,16 +35,13 @@ def averages_of(readings: DataFrame, config: WindowConfig = DEFAULT_WINDOWS) ->
 
 def totals_of(readings: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
     """Readings to running totals per truck; on a stream, in update mode."""
-    return truck_totals(normalize(dedup_readings(with_event_time(readings), delay=delay)))
+    return truck_totals(normalize(dedup_readings(with_event_time(readings), delay=delay, at_once=True)))
 
 
 def latest_of(readings: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
     """Readings to the latest values per truck; on a stream, in update mode. A stream needs an event time to
     forget old keys by, so there readings whose timestamp cannot be parsed are dropped."""
-    timed = with_event_time(readings)
-    if readings.isStreaming:
-        timed = timed.where(F.col("event_time").isNotNull())
-    first = dedup_readings(timed, delay=delay)
+    first = dedup_readings(with_event_time(readings), delay=delay, at_once=True)
     return fleet_latest(first.where(F.col("temperature").isNull() | ~(F.col("temperature") <= 0)))
 
 
