@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetgauge.config import WindowConfig
 from fleetgauge.functions.numbers import to_centi
@@ -19,16 +20,27 @@ from fleetgauge.operators.normalize import normalize, with_event_time
 from fleetgauge.operators.windows import TUMBLING, window_averages
 from fleetgauge.schemas import TELEMETRY, TELEMETRY_TOPIC, TOPIC_PARTITIONS
 from fleetgauge.session import pin_utc
+from fleetgauge.sources.files import spread_small
 
 # The second delivery arrives after every first one.
 REPLAY_SEQ = 1 << 40
 REPLAY_DELAY = "INTERVAL 2 SECONDS"
 
 
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with ``ts`` as an instant, which watermarks and windows need."""
     pin_utc(spark)
-    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    table = spread_small(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), "event_id")
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -44,14 +56,25 @@ def readings_from(table: DataFrame, *carried: str, warmer: float = 1.0) -> DataF
     suffix = (
         F.when(F.col("event_id") % 3 == 0, "Z").when(F.col("event_id") % 3 == 1, "+00:00").otherwise("")
     )
-    delivered = table.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    return delivered.select(
+    once = table.select(
         F.when(~_every(101), F.col("user_id") + 1).alias("truck_id"),
-        F.when(~_every(89), F.round(F.col("value") - 5 + copy * warmer, 2)).alias("temperature"),
+        F.when(~_every(89), F.col("value") - 5).alias("_temperature"),
         F.when(_every(97), "not-a-timestamp").otherwise(F.concat(clock, suffix)).alias("timestamp"),
         F.when(~_every(3), F.get_json_object("props", "$.k").cast("double")).alias("fuel_level"),
         F.when(~_every(4), 25 + (F.col("event_id") % 2400) / 100).alias("latitude"),
         F.when(~_every(4), -125 + (F.col("event_id") % 5800) / 100).alias("longitude"),
+        "event_id",
+        "ts",
+        *carried,
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy"),
+    )
+    return once.select(
+        "truck_id",
+        F.round(F.col("_temperature") + copy * warmer, 2).alias("temperature"),
+        "timestamp",
+        "fuel_level",
+        "latitude",
+        "longitude",
         (F.col("event_id") + copy * REPLAY_SEQ).alias("seq"),
         F.when(copy == 0, F.col("ts")).otherwise(F.col("ts") + F.expr(REPLAY_DELAY)).alias("arrival"),
         *carried,
@@ -65,8 +88,7 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream of its files."""
     pin_utc(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    stream = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

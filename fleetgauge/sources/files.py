@@ -1,0 +1,19 @@
+"""Tables in files."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Up to this many splits (half a gigabyte at the default split size) a table counts as small.
+SMALL_SPLITS = 4
+
+
+def spread_small(table: DataFrame, key: str) -> DataFrame:
+    """A table of a few splits, spread over the cores before its rows are parsed or aggregated.
+
+    A file is read by as many tasks as it has splits, which for a small one leaves most cores idle. Larger
+    tables have splits enough and are returned as they are: they are never exchanged for this.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    splits = table.rdd.getNumPartitions()
+    return table.repartition(cores, key) if splits <= SMALL_SPLITS and splits < cores else table
