@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 
@@ -25,6 +26,19 @@ class WindowConfig:
         return self.size % self.step == 0
 
 
+    @classmethod
+    def from_env(cls, environ: Mapping[str, str]) -> WindowConfig:
+        """The demo preset when DEMO_MODE is on, else the default, with single durations overridden by
+        WINDOW_SIZE_SECONDS, HOPPING_STEP_SECONDS and WINDOW_EXPIRES_SECONDS."""
+        demo = environ.get("DEMO_MODE", "").lower() in ("1", "true", "yes")
+        preset = DEMO_WINDOWS if demo else DEFAULT_WINDOWS
+        return cls(
+            size=int(environ.get("WINDOW_SIZE_SECONDS", preset.size)),
+            step=int(environ.get("HOPPING_STEP_SECONDS", preset.step)),
+            expires=int(environ.get("WINDOW_EXPIRES_SECONDS", preset.expires)),
+        )
+
+
 DEFAULT_WINDOWS = WindowConfig()
 DEMO_WINDOWS = WindowConfig(size=30, step=10, expires=120)
 
