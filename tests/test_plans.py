@@ -11,6 +11,7 @@ from fleetgauge.operators.rates import counter_rate
 from fleetgauge.operators.state import running_state
 from fleetgauge.operators.windows import window_averages
 from fleetgauge.plans import fleet_tables
+from fleetgauge.sources.files import SMALL_SPLITS, spread_small
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,9 +23,10 @@ def executed(df):
 
 
 def exchange_keys(plan):
-    """Keys of the exchanges that move rows, not counting reused ones."""
+    """Keys of the exchanges that move rows, not counting reused ones and the spread of a small file."""
     lines = [line for line in plan.splitlines() if "ReusedExchange" not in line]
-    return re.findall(r"Exchange hashpartitioning\(([^)]*)\)", "\n".join(lines))
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", "\n".join(lines))
+    return [k for k in keys if not k.startswith("event_id")]
 
 
 def test_windows_take_three_exchanges_for_both_kinds(spark):
@@ -68,6 +70,12 @@ def test_series_are_cut_into_spans(spark, name):
     assert any("_span" in k for k in exchange_keys(plan))
 
 
+def test_only_tables_of_a_few_splits_are_spread(spark):
+    small, large = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, SMALL_SPLITS + 1)
+    assert spread_small(small, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_small(large, "id") is large
+
+
 def test_no_plan_joins_without_a_key(spark):
     for df in (
         recovery_audit(fleet_tables.normalized_readings(spark, SF_DIR)),
