@@ -98,18 +98,25 @@ def changelog_of(states: DataFrame, order: str = "seq") -> DataFrame:
     )
 
 
-def materialize_changelog(changelog: DataFrame, order: str = "seq") -> DataFrame:
-    """Live state ``(truck_id, sum, count, average)``: the last write of each key, unless it was a null
-    value, which deletes. Replaying a log twice gives the same state."""
+def compact_changelog(changelog: DataFrame, order: str = "seq") -> DataFrame:
+    """The last entry of each key, deletions included. It replays to the same state as the whole log, in time
+    that follows the number of trucks and not of readings."""
     last = changelog.groupBy("key").agg(
-        F.max_by(F.col("value").isNotNull(), order).alias("_live"),
+        F.max(order).alias(order),
+        F.max_by(F.col("value").isNotNull(), order).alias("_written"),
         F.max_by("value.sum", order).alias("sum"),
         F.max_by("value.count", order).alias("count"),
     )
-    live = last.where("_live").select(
+    return last.select("key", F.when(F.col("_written"), F.struct("sum", "count")).alias("value"), order)
+
+
+def materialize_changelog(changelog: DataFrame, order: str = "seq") -> DataFrame:
+    """Live state ``(truck_id, sum, count, average)``: the last write of each key, unless it was a null
+    value, which deletes. Replaying a log twice gives the same state."""
+    live = compact_changelog(changelog, order).where(F.col("value").isNotNull()).select(
         truck_of_key("key").alias("truck_id"),
-        F.coalesce("sum", F.lit(0.0)).alias("sum"),
-        F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
+        F.coalesce("value.sum", F.lit(0.0)).alias("sum"),
+        F.coalesce("value.count", F.lit(0).cast("bigint")).alias("count"),
     )
     return live.withColumn("average", average_of(to_centi("sum"), "count"))
 

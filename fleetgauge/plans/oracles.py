@@ -370,6 +370,10 @@ SELECT c_custkey AS truck_id, coalesce("sum", 0.0) AS "sum", coalesce("count", 0
 FROM customer LEFT JOIN totals ON truck_id = c_custkey""",
     "running_state": f"""{base(*NORMALIZED, RUNNING)}
 SELECT truck_id, seq, s / 100.0 AS "sum", n AS "count", {avg4('s', 'n')} AS average FROM running""",
+    "compacted_changelog": f"""{base(*NORMALIZED, RUNNING)}
+SELECT 'truck:' || truck_id AS key, CASE WHEN n % 7 <> 0 THEN s / 100.0 END AS "sum",
+       CASE WHEN n % 7 <> 0 THEN n END AS "count", seq
+FROM running QUALIFY row_number() OVER (PARTITION BY truck_id ORDER BY seq DESC) = 1""",
     "materialized_changelog": f"{base(*NORMALIZED, RUNNING, LIVE)} SELECT * FROM live",
     "state_as_of": f"""{base(*NORMALIZED, RUNNING.replace('running AS', 'all_running AS'), '''
 running AS (SELECT * FROM all_running WHERE seq <= (SELECT max(event_id) // 2 FROM events))''', LIVE)}

@@ -275,6 +275,12 @@ def _changelog_with_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("value", F.when(F.col("value.count") % 7 != 0, F.col("value")))
 
 
+@query
+def compacted_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compacted = state.compact_changelog(_changelog_with_deletions(spark, sf_dir))
+    return compacted.select("key", "value.sum", "value.count", "seq")
+
+
 @query
 def materialized_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.materialize_changelog(_changelog_with_deletions(spark, sf_dir))

@@ -7,6 +7,7 @@ from fleetgauge.operators.audits import recovery_audit
 from fleetgauge.operators.normalize import normalize
 from fleetgauge.operators.state import (
     changelog_of,
+    compact_changelog,
     materialize_changelog,
     reconcile_states,
     running_state,
@@ -74,6 +75,9 @@ def test_null_deletes_and_a_later_write_revives(changelog, rows):
         ("truck:1", (30.0, 1)), ("truck:2", (5.0, 1)), ("truck:1", None), ("truck:2", None), ("truck:2", (6.0, 2))
     )
     assert rows(materialize_changelog(log), "truck_id", "sum", "count") == [(2, 6.0, 2)]
+    compacted = compact_changelog(log)
+    assert rows(compacted, "key", "value.sum", "seq", order="key") == [("truck:1", None, 2), ("truck:2", 6.0, 4)]
+    assert rows(materialize_changelog(compacted)) == rows(materialize_changelog(log))
     assert rows(state_as_of(log, 1), "truck_id", "sum", order="truck_id") == [(1, 30.0), (2, 5.0)]
     assert rows(state_as_of(log, 2), "truck_id") == [(2,)]
 
