@@ -1,0 +1,24 @@
+"""DuckDB SQL for the queries that SQL can express on whole tables."""
+
+_SPACE = "[\\x20\\x09-\\x0D]"
+
+ORACLES = {
+    "op7_exact_dedup": rf"""
+        WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points,
+                          sha256(regexp_replace(coalesce(text, ''), '{_SPACE}', '', 'g')) AS h FROM documents),
+             k AS (SELECT doc_id, h, first_value(doc_id) OVER (PARTITION BY h ORDER BY points DESC, doc_id) AS keep_id,
+                          count(*) OVER (PARTITION BY h) AS group_size FROM t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM k""",
+    "op8_line_dedup": rf"""
+        WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+             k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+             c AS (SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20 GROUP BY key
+                   HAVING count(DISTINCT doc_id) >= 3),
+             d AS (SELECT k.doc_id, k.i, k.line, coalesce(k.doc_id < c.last_doc, false) AS gone
+                   FROM k LEFT JOIN c ON k.key = c.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM d GROUP BY doc_id""",
+}
