@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import exact_copies, lines, packing, pieces, quality, secrets
-from fleetgauge.llm.common import documents
+from fleetgauge.llm import exact_copies, language, lines, packing, pieces, quality, secrets, toxicity
+from fleetgauge.llm.common import documents, in_fold
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -21,6 +21,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.learn(docs, ~in_fold("doc_id", 2)))
+    return found.select("doc_id", in_fold("doc_id", 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = toxicity.predict(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", in_fold("doc_id", 2).alias("held_out"), "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_copies.exact_dedup(documents(spark, sf_dir), digest_all=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("content_hash").alias("text_sha256"))
@@ -44,4 +56,4 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_rules, op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans)}
+    op1_best_fit_packing, op3_quality_rules, op4_language_id, op5_toxicity, op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans)}
