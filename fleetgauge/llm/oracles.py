@@ -21,4 +21,40 @@ ORACLES = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM d GROUP BY doc_id""",
+    "op2_substring_dedup": rf"""
+        WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS ws
+                   FROM documents),
+             g AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50),
+             h AS (SELECT doc_id, i, hash(ws[i:i + 49]) AS h1, hash(ws[i + 1:i + 49]) AS h2 FROM g),
+             f AS (SELECT h1, h2, min(doc_id) AS first FROM h GROUP BY h1, h2),
+             r AS (SELECT DISTINCT h.doc_id, unnest(range(h.i, h.i + 50)) AS j FROM h JOIN f USING (h1, h2)
+                   WHERE f.first < h.doc_id),
+             a AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+             k AS (SELECT a.doc_id, a.j, a.word, r.j IS NOT NULL AS gone FROM a LEFT JOIN r
+                   ON a.doc_id = r.doc_id AND a.j = r.j),
+             s AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+                          string_agg(word, ' ' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM k GROUP BY doc_id)
+        SELECT w.doc_id, len(w.ws) AS n_words, coalesce(s.n_removed, 0) AS n_removed,
+               sha256(coalesce(s.kept, '')) AS kept_sha256 FROM w LEFT JOIN s ON w.doc_id = s.doc_id""",
+    "op6_ngram_jaccard": rf"""
+        WITH RECURSIVE w AS (
+                 SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}+'), lambda x: x <> '') AS ws
+                 FROM documents),
+             s AS (SELECT doc_id, list_sort(list_distinct(CASE
+                        WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1),
+                                                              lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS grams FROM w),
+             e AS (SELECT doc_id, len(grams) AS n, min(doc_id) OVER (PARTITION BY grams) AS rep FROM s),
+             g AS (SELECT s.doc_id, e.n, unnest(s.grams) AS gram FROM s JOIN e ON s.doc_id = e.doc_id
+                   WHERE e.rep = s.doc_id),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id
+                        AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+                   GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+             l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+             c(id, reached) AS (SELECT doc_id, doc_id FROM e WHERE rep = doc_id
+                                UNION SELECT c.id, l.b FROM c JOIN l ON c.reached = l.a),
+             m AS (SELECT id, min(reached) AS component FROM c GROUP BY id)
+        SELECT e.doc_id, e.n AS n_shingles, CASE WHEN e.n = 0 THEN e.doc_id ELSE m.component END AS component_id
+        FROM e JOIN m ON e.rep = m.id""",
 }

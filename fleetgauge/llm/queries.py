@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import exact_copies, language, lines, packing, pieces, quality, secrets, toxicity
+from fleetgauge.llm import exact_copies, jaccard, language, lines, packing, pieces, quality, secrets, substrings, toxicity
 from fleetgauge.llm.common import documents, in_fold
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(documents(spark, sf_dir)).drop("kept")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
@@ -33,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold("doc_id", 2).alias("held_out"), "score", "predicted")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_copies.exact_dedup(documents(spark, sf_dir), digest_all=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("content_hash").alias("text_sha256"))
@@ -56,4 +64,5 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_quality_rules, op4_language_id, op5_toxicity, op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans)}
+    op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_language_id, op5_toxicity, op6_ngram_jaccard,
+    op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans)}
