@@ -69,10 +69,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return grouped.unionByName(nameless)
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns. Of repeated rows (equal id and equal text) one stays."""
-    found = exact_dedup(docs, id_col, text_col)
-    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
-    own = docs.withColumn("copy_key", F.xxhash64(squeezed(F.coalesce(docs[text_col], F.lit("")))))
-    rows = own.join(kept, own[id_col] == kept["kept_id"], "left_semi").dropDuplicates([id_col, "copy_key"])
+def keep_ids(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is in the column ``doc_id`` of ``kept``, all columns, and the rows without an id.
+    Of repeated rows (equal id, text equal but for white space) one stays."""
+    ids = kept.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept_id")).distinct()
+    own = docs.withColumn("__text_key", F.xxhash64(squeezed(F.coalesce(docs[text_col], F.lit("")))))
+    rows = own.join(ids, own[id_col] == ids["__kept_id"], "left_semi").dropDuplicates([id_col, "__text_key"])
     return rows.select(*docs.columns).unionByName(docs.filter(docs[id_col].isNull()))
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns."""
+    return keep_ids(docs, exact_dedup(docs, id_col, text_col).filter("kept"), id_col, text_col)

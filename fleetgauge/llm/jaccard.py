@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import WordHashes, as_table, batch_of, id_bytes, mixed, sql_type, window_hashes
 from fleetgauge.llm.components import components
+from fleetgauge.llm.exact_copies import keep_ids
 
 COUNT_BITS = 18
 COUNT_BLOCKS = 16
@@ -230,3 +231,10 @@ def linked(found: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     nb = sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     union = F.col("na") + F.col("nb") - F.col("overlap")
     return found.join(na, "a").join(nb, "b").filter(100 * F.col("overlap") >= percent * union).select("a", "b")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+                percent: int = 90) -> DataFrame:
+    """The rows of ``docs`` without those of other ids than the smallest of their class, all columns."""
+    found = jaccard_classes(docs, id_col, text_col, width, percent)
+    return keep_ids(docs, found.filter("doc_id = component_id"), id_col, text_col)

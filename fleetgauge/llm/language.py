@@ -34,6 +34,8 @@ SAMPLE_CHARS = 1024
 EPOCHS = 4
 BATCH = 64
 UNKNOWN = "und"
+#: A text whose best language is less likely is rejected by ``keep_known``.
+MIN_SCORE = 0.3
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -176,6 +178,25 @@ def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(work, f"doc_id {sql_type(rows, 'doc_id')}, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, net: Net | None, min_score: float = MIN_SCORE, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of at least ``min_score``, all columns."""
+    place = docs.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = net.tables() if net else None
+        for batch in batches:
+            texts = batch.column(place)
+            keep = []
+            for begin, end in slices([len(t.as_py() or "") for t in texts], SLICE_BYTES // 8):
+                raw = [(t.as_py() or "").encode() for t in texts.slice(begin, end - begin)]
+                usable = [bool(net) and bool(LETTER.search(t.decode())) for t in raw]
+                keep += [good and score >= min_score
+                         for (_, score), good in zip(judged(net, tables, raw, usable), usable, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def judged(net: Net | None, tables, texts: list[bytes], usable: list[bool]) -> list[tuple[str, float]]:
     """Best language of each usable text and its probability."""
     parts = [windows_of(t) if good else np.empty((0, WINDOW), dtype=np.uint8)

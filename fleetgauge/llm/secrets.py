@@ -190,3 +190,14 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def without_secrets(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every span replaced by a mark, all columns; a column of text lengths follows the text."""
+    rows = with_spans(docs.withColumn("__text", F.coalesce(docs[text_col], F.lit(""))), "__text", spans="__spans")
+    found = F.size("__spans") > 0
+    rows = rows.withColumn(text_col, F.when(found, redacted(F.col("__text"), F.col("__spans"))).otherwise(F.col(text_col)))
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        rows = rows.withColumn(chars_col, F.when(found, F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
+    return rows.select(*docs.columns)
