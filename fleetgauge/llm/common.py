@@ -55,6 +55,16 @@ def as_table(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of at most so many ids, or ids with small arrays, are sent to all tasks (a few tens of MB at the most).
+SENT_ROWS = 1_000_000
+
+
+def sent_if_small(df: DataFrame, rows: int | None = None, most: int = SENT_ROWS) -> DataFrame:
+    """``df``, a table already written, marked for broadcast if its rows, or ``rows`` of what they hold, are few
+    enough; else as it is, for a join by a shuffle."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered for the words seen lately."""
 

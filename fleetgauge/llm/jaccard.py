@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import WordHashes, as_table, batch_of, id_bytes, mixed, sql_type, window_hashes
+from fleetgauge.llm.common import WordHashes, as_table, batch_of, id_bytes, mixed, sent_if_small, sql_type, window_hashes
 from fleetgauge.llm.components import components
 from fleetgauge.llm.exact_copies import keep_ids
 
@@ -131,6 +131,10 @@ def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, width: int,
         .withColumn("most", F.floor((F.col("na") + F.col("nb") - apart) / 2))
         .select("a", "b", "most", (F.col("most") >= need(F.col("na"), F.col("nb"), percent)).alias("near")), "pairs")
     near = pairs.filter("near").select("a", "b")
+    # Few texts are in a pair: they are picked out once, where possible without moving the others.
+    ids = as_table(near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id")))
+                   .distinct(), "near-ids")
+    docs = as_table(docs.join(sent_if_small(ids), "doc_id", "left_semi"), "near-texts")
     cells = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("salts"))
     heads = (docs.join(cells, docs["doc_id"] == cells["a"])
              .select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
@@ -183,7 +187,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     c = F.col
     with_head = (listed.filter((c("id") != c("head")) & reach(c("n"), c("pos"), c("head_n"), c("head_pos")))
                  .select(c("head").alias("a"), c("id").alias("b")).distinct())
-    first = verified(with_head, rows.join(reps, "doc_id", "left_semi"), sketches, width, percent)
+    first = verified(with_head, rows, sketches, width, percent)
     sizes = own.select("doc_id", "n")
     links = as_table(linked(first, sizes, percent), "links-first")
     classes = components(links)
@@ -214,7 +218,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         & reach(c("n"), c("pos"), c("sn"), c("sp"))
         & (c("s_most") + c("n") - c("least") >= need(c("n"), c("sn"), percent)))
         .select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")).distinct())
-    second = verified(rest, rows.join(reps, "doc_id", "left_semi"), sketches, width, percent)
+    second = verified(rest, rows, sketches, width, percent)
     more = linked(second, sizes, percent)
     stars = classes.filter("id != component").select(c("id").alias("a"), c("component").alias("b"))
     final = components(stars.unionByName(more))

@@ -31,7 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.automaton import SuffixAutomaton
-from fleetgauge.llm.common import WordHashes, as_table, batch_of, covered, id_bytes, sql_type, window_hashes
+from fleetgauge.llm.common import (
+    SENT_ROWS,
+    WordHashes,
+    as_table,
+    batch_of,
+    covered,
+    id_bytes,
+    sent_if_small,
+    sql_type,
+    window_hashes,
+)
 
 WINDOW = 50
 ANCHOR = 16
@@ -212,8 +222,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = (placed.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
               .filter("low < high").select("anchor"))
     placed = as_table(placed.join(shared, "anchor", "left_semi"), "shared-anchors")
-    flagged = as_table(rows.join(placed.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "doc_id"),
-                       "flagged-texts")
+    by_doc = as_table(placed.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "flagged-places")
+    flagged = as_table(rows.join(sent_if_small(by_doc, placed.count(), 4 * SENT_ROWS), "doc_id"), "flagged-texts")
 
     passages = as_table(reference(flagged, repeating(flagged, window, anchor), window, anchor), "reference")
     n_shards = int((passages.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS + 1)
