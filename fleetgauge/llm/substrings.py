@@ -173,28 +173,31 @@ def matched(passages: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """``doc_id, start, stop`` of the maximal spans of ``texts`` that smaller documents of their shards hold."""
     kind = sql_type(texts, "doc_id")
     salts = texts.groupBy("shard").agg(F.ceil(F.sum("n") / CELL_WORDS).cast("int").alias("salts"))
-    part0 = (passages.join(salts, "shard")
+    held = f"array<struct<doc:{kind},words:binary>>"
+    # A shard is one row, so that sending it to many cells copies as few rows as there are cells.
+    part0 = (passages.groupBy("shard").agg(F.collect_list(F.struct(F.col("doc_id").alias("doc"), "words")).alias("held"))
+             .join(salts, "shard")
              .select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("part"),
-                     "doc_id", F.lit(0).alias("start"), "words"))
+                     F.lit(None).cast(kind).alias("doc_id"), F.lit(0).alias("start"), F.lit(None).cast("binary").alias("words"),
+                     "held"))
     part1 = (texts.join(salts, "shard")
              .select("shard", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts").cast("long")).cast("int").alias("salt"),
-                     F.lit(1).alias("part"), "doc_id", "start", "words"))
+                     F.lit(1).alias("part"), "doc_id", "start", "words", F.lit(None).cast(held).alias("held")))
     cells = (part0.unionByName(part1).repartition(F.col("shard"), F.col("salt"))
              .sortWithinPartitions("shard", "salt", "part", "doc_id"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, automaton = None, [], None
+        cell, automaton = None, None
         for batch in batches:
             docs, starts, stops = [], [], []
-            for shard, salt, part, doc, start, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (shard, salt) != cell:
-                    cell, held, automaton = (shard, salt), [], None
-                words = np.frombuffer(words, dtype=np.uint64).tolist()
+            for shard, salt, part, doc, start, words, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part == 0:
-                    held.append((doc, words))
+                    cell, automaton = (shard, salt), SuffixAutomaton(
+                        [(x["doc"], np.frombuffer(x["words"], dtype=np.uint64).tolist()) for x in held])
                     continue
-                if automaton is None:
-                    automaton = SuffixAutomaton(held)
+                if cell != (shard, salt):
+                    continue  # no cell is without its shard
+                words = np.frombuffer(words, dtype=np.uint64).tolist()
                 for begin, end in automaton.spans(doc, words, window):
                     docs.append(doc)
                     starts.append(start + begin)
