@@ -9,7 +9,7 @@ id; windows are judged on the input. The steps:
    those that repeat and the first document of each.
 3. The reference is what first documents hold of repeating windows, each passage once. It is dealt into shards of
    about ``SHARD_WORDS`` words, by document, and a shard's suffix automaton gives matching statistics for the stretches
-   of all documents that share an anchor with it. An automaton is made where it is used: a shard, of bounded
+   of documents made of windows that it holds. An automaton is made where it is used: a shard, of bounded
    size, goes to as many cells as its stretches fill, so that a passage in a third of all documents is matched in many
    tasks. A task reads a cell's shard, then streams the stretches.
 4. The maximal spans found are removed.
@@ -101,8 +101,8 @@ def scan(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                                  "words_key binary, places array<int>, anchors array<bigint>")
 
 
-def repeating(flagged: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``doc_id, windows``: the hashes of the repeating windows that each document is the first to hold."""
+def window_rows(flagged: DataFrame, window: int, anchor: int) -> DataFrame:
+    """``doc_id, window, start`` of all windows that hold a shared anchor."""
     kind = sql_type(flagged, "doc_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,21 +111,21 @@ def repeating(flagged: DataFrame, window: int, anchor: int) -> DataFrame:
             for i, (raw, places) in enumerate(zip(*batch.columns[1:], strict=True)):
                 hashes = known.of(raw.as_py().split())
                 starts = near_starts(np.array(places.as_py()), len(hashes), window, anchor)
-                found = np.unique(window_hashes(hashes, window)[starts]).astype(np.int64)
+                found = window_hashes(hashes, window)[starts].astype(np.int64)
                 for at in range(0, len(found), 1 << 18):
                     part = found[at:at + (1 << 18)]
-                    yield batch_of({"window": pa.int64()}, batch.column(0).take(pa.array(np.full(len(part), i))), [part])
+                    yield batch_of({"window": pa.int64(), "start": pa.int32()},
+                                   batch.column(0).take(pa.array(np.full(len(part), i))),
+                                   [part, starts[at:at + (1 << 18)].astype(np.int32)])
 
-    windows = flagged.select("doc_id", "text", "places").mapInArrow(work, f"doc_id {kind}, window bigint")
-    firsts = windows.groupBy("window").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    return firsts.filter("doc_id < last").groupBy("doc_id").agg(F.collect_list("window").alias("windows"))
+    return flagged.select("doc_id", "text", "places").mapInArrow(work, f"doc_id {kind}, window bigint, start int")
 
 
-def reference(flagged: DataFrame, firsts: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``doc_id, words, n, anchors``: the passages of the reference as hashes of words, and their anchors. Long ones
-    are cut with an overlap of a window."""
+def reference(flagged: DataFrame, firsts: DataFrame, window: int) -> DataFrame:
+    """``doc_id, words, n``: the passages of the reference as hashes of words. Long ones are cut with an overlap of a
+    window."""
     kind = sql_type(flagged, "doc_id")
-    out = {"words": pa.binary(), "n": pa.int64(), "anchors": pa.list_(pa.int64())}
+    out = {"words": pa.binary(), "n": pa.int64()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -138,16 +138,16 @@ def reference(flagged: DataFrame, firsts: DataFrame, window: int, anchor: int) -
                     for cut in range(begin, max(end - window + 1, begin + 1), SHARD_WORDS // 2):
                         part = hashes[cut:min(end, cut + SHARD_WORDS // 2 + window - 1)]
                         at.append(i)
-                        found.append((part.tobytes(), len(part), np.unique(anchors_of(part, window, anchor)[1])))
+                        found.append((part.tobytes(), len(part)))
             yield batch_of(out, batch.column(0).take(pa.array(at, pa.int32())),
                            list(zip(*found, strict=True)) or [[]] * len(out))
 
     rows = flagged.join(firsts, "doc_id").select("doc_id", "text", "windows")
-    return rows.mapInArrow(work, f"doc_id {kind}, words binary, n bigint, anchors array<bigint>")
+    return rows.mapInArrow(work, f"doc_id {kind}, words binary, n bigint")
 
 
-def stretches(flagged: DataFrame, routes: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``doc_id, shard, start, words, n``: what each document has around the anchors that it shares with a shard."""
+def stretches(flagged: DataFrame, routes: DataFrame, window: int) -> DataFrame:
+    """``doc_id, shard, start, words, n``: each document's repeating windows, by the shard that has them."""
     kind = sql_type(flagged, "doc_id")
     out = {"shard": pa.int32(), "start": pa.int32(), "words": pa.binary(), "n": pa.int64()}
 
@@ -158,8 +158,8 @@ def stretches(flagged: DataFrame, routes: DataFrame, window: int, anchor: int) -
             for i, (raw, shards) in enumerate(zip(*batch.columns[1:], strict=True)):
                 hashes = known.of(raw.as_py().split())
                 for shard in shards.as_py():
-                    starts = near_starts(np.array(shard["places"]), len(hashes), window, anchor)
-                    for begin, end in runs(covered(starts, window, len(hashes))):
+                    starts = np.array(shard["starts"])
+                    for begin, end in runs(covered(starts[starts <= len(hashes) - window], window, len(hashes))):
                         at.append(i)
                         found.append((shard["shard"], begin, hashes[begin:end].tobytes(), end - begin))
             yield batch_of(out, batch.column(0).take(pa.array(at, pa.int32())),
@@ -228,14 +228,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     by_doc = as_table(placed.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "flagged-places")
     flagged = as_table(rows.join(sent_if_small(by_doc, placed.count(), 4 * SENT_ROWS), "doc_id"), "flagged-texts")
 
-    passages = as_table(reference(flagged, repeating(flagged, window, anchor), window, anchor), "reference")
+    windows = window_rows(flagged, window, anchor)
+    firsts = (windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+              .filter("first < last").select("window", "first"))
+    firsts = as_table(firsts, "repeating-windows")
+    by_first = firsts.groupBy(c("first").alias("doc_id")).agg(F.collect_list("window").alias("windows"))
+    passages = as_table(reference(flagged, by_first, window), "reference")
     n_shards = int((passages.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS + 1)
-    passages = passages.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)).cast("int"))
-    routes = passages.select(F.explode("anchors").alias("anchor"), "shard").distinct()
-    routes = (placed.join(routes, "anchor").groupBy("doc_id", "shard").agg(F.collect_set("place").alias("places"))
-              .groupBy("doc_id").agg(F.collect_list(F.struct("shard", "places")).alias("shards")))
-    texts = as_table(stretches(flagged, routes, window, anchor), "stretches")
-    spans = (matched(passages.drop("anchors", "n"), texts, window).groupBy("doc_id")
+    shard = lambda doc: F.pmod(F.xxhash64(doc), F.lit(n_shards)).cast("int").alias("shard")
+    # A repeating window has one first document and goes to that one's shard: no more rows than windows.
+    routes = (windows.join(firsts, "window").filter("first < doc_id").groupBy("doc_id", shard("first"))
+              .agg(F.collect_list("start").alias("starts"))
+              .groupBy("doc_id").agg(F.collect_list(F.struct("shard", "starts")).alias("shards")))
+    texts = as_table(stretches(flagged, routes, window), "stretches")
+    spans = (matched(passages.select("doc_id", "words", shard("doc_id")), texts, window).groupBy("doc_id")
              .agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
     cleaned = as_table(removed(flagged.drop("places").join(spans, "doc_id").select("doc_id", "text", "spans")), "cleaned")
 
