@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 #: Bytes of text that a task works on at once, and words that it remembers.
 SLICE_BYTES = 4 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,15 @@ def sent_if_small(df: DataFrame, rows: int | None = None, most: int = SENT_ROWS)
     return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
 
 
+def kept_in_worker(key: tuple, make):
+    """What ``make`` returns, made once in a worker process and used by all its tasks. It is kept by ``sys``: functions
+    that travel with a job have module variables of their own in each task."""
+    held = sys.__dict__.setdefault("_kept_for_text", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 class WordHashes(dict):
     """64-bit hashes of words (bytes), remembered for the words seen lately."""
 

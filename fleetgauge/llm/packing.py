@@ -10,6 +10,7 @@ that repeat an id are packed once each; an empty table gives no piece.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from fleetgauge.llm.common import KNOWN_WORDS, as_table, batch_of, id_bytes, slices, sql_type
+from fleetgauge.llm.common import KNOWN_WORDS, as_table, batch_of, id_bytes, kept_in_worker, slices, sql_type
 
 CAPACITY = 2048
 END = 0
@@ -34,6 +35,7 @@ class WordIds:
     are its words' ids; each word is encoded once and then remembered."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(path).encode_batch
@@ -41,9 +43,21 @@ class WordIds:
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
+        self.known: dict[bytes, list[int]] = {}
         self.pool = np.empty(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
+    @staticmethod
+    def parts(word: bytes) -> tuple[bytes, ...]:
+        """Letters and the marks behind them, which the tokenizer also takes apart; other words are left whole. The
+        tokenizer lower-cases, so that ASCII letters may be lower-cased before."""
+        stem = word.rstrip(b".,;:!?")
+        if stem.isalpha():
+            stem = stem.lower()
+        elif not stem.decode().isalpha():
+            return (word,)
+        return (stem, word[len(stem):]) if len(stem) < len(word) else (stem,)
+
     def learn(self, words: list[bytes]) -> None:
         new = set(words).difference(self.index)
         if len(self.index) + len(new) > KNOWN_WORDS:
@@ -52,7 +66,11 @@ class WordIds:
         if not new:
             return
         new = list(new)
-        ids = [x.ids for x in self.encode([w.decode() for w in new], add_special_tokens=False)]
+        parts = [self.parts(w) for w in new]
+        unknown = list({p for x in parts for p in x}.difference(self.known))
+        self.known.update(zip(unknown, (x.ids for x in self.encode([p.decode() for p in unknown], add_special_tokens=False)),
+                              strict=True))
+        ids = [[i for p in x for i in self.known[p]] for x in parts]
         first = len(self.index)
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
@@ -82,7 +100,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         out["ids"] = pa.list_(pa.int32())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
+        words = kept_in_worker(("word ids", tokenizer), lambda: WordIds(tokenizer))
         for batch in batches:
             texts = batch.column(1)
             for begin, end in slices(pa.compute.binary_length(texts).to_pylist()):
