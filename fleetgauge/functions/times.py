@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ _HOUR_ONLY = rf"\A({_DATE}[T ]\d{{2}}){_OFFSET}\z"
 _MINUTE_ONLY = rf"\A({_DATE}[T ]\d{{2}}:\d{{2}}){_OFFSET}\z"
 
 
+def instant(moment: datetime) -> Column:
+    """A moment as a column; without a zone it is UTC, wherever the driver runs."""
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)).cast("timestamp")
+
+
 def parse_event_time(text: Column | str) -> Column:
     """Instant of an ISO-8601 text; without an offset it is UTC; null when it is not a timestamp.
 

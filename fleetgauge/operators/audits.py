@@ -17,6 +17,7 @@ from fleetgauge.operators.state import (
     truck_totals,
 )
 from fleetgauge.operators.windows import HOPPING, TUMBLING, partial_sums
+from fleetgauge.functions.times import instant
 from fleetgauge.schemas import READING_KEY
 
 # Fixed value: the throughput target in events per second.
@@ -33,7 +34,7 @@ def exactly_once_audit(
     PASSED when equal, FAILED when doubled, INCONCLUSIVE otherwise."""
     real = averages.where(F.col("window_type") == TUMBLING)
     if cutoff is not None:
-        real = real.where(F.col("window_start") < F.lit(cutoff))
+        real = real.where(F.col("window_start") < instant(cutoff))
     counted = real.groupBy().agg(F.coalesce(F.sum("reading_count"), F.lit(0).cast("bigint")).alias("counted"))
     # Copies collapse per key before the count; a key may have any number of them.
     distinct = sent.groupBy(*keys).agg(F.count("*").alias("_copies")).groupBy().agg(

@@ -6,7 +6,7 @@ is sorted per truck.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.times import iso_utc
@@ -101,18 +101,24 @@ def anomalies(accepted: DataFrame) -> DataFrame:
         "timestamp",
         F.lit(ALERT_TYPE).alias("type"),
         F.when(t > CRITICAL_ABOVE, "critical").otherwise("warning").alias("severity"),
-        *[c for c in ("seq",) if c in accepted.columns],
+        *[c for c in ("seq", "arrival") if c in accepted.columns],
     )
 
 
+def newest_first(readings: DataFrame, order: str) -> list[Column]:
+    """Sort order of recent lists. Numbers from a log follow arrival within one partition only, so that the time of
+    arrival comes before them where readings carry it."""
+    return [F.col(c).desc() for c in ("arrival", order) if c in readings.columns]
+
+
 def recent_anomalies(accepted: DataFrame, rows: int = ANOMALIES_SHOWN, order: str = "seq") -> DataFrame:
-    """The newest anomalies, newest first."""
-    return anomalies(accepted).orderBy(F.col(order).desc()).limit(min(rows, ANOMALIES_KEPT))
+    """The newest anomalies, newest first, as many as asked for."""
+    return anomalies(accepted).orderBy(*newest_first(accepted, order)).limit(rows)
 
 
 def recent_readings(accepted: DataFrame, rows: int = READINGS_SHOWN, order: str = "seq") -> DataFrame:
     """The newest accepted readings, newest first."""
-    return accepted.orderBy(F.col(order).desc()).limit(rows)
+    return accepted.orderBy(*newest_first(accepted, order)).limit(rows)
 
 
 def fleet_positions(roster: DataFrame) -> DataFrame:

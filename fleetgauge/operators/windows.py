@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.config import DEFAULT_WINDOWS, WindowConfig, seconds
 from fleetgauge.functions.numbers import average_of
-from fleetgauge.functions.times import iso_utc
+from fleetgauge.functions.times import instant, iso_utc
 
 TUMBLING = "tumbling"
 HOPPING = "hopping"
@@ -72,7 +72,7 @@ def build_window_average(
 ) -> DataFrame:
     """Result rows from ``(keys, window, centi_sum, reading_count)``; a window that counted nothing gives none."""
     kind = F.lit(window_type) if isinstance(window_type, str) else window_type
-    now = F.lit(computed_at).cast("timestamp") if computed_at else F.current_timestamp()
+    now = instant(computed_at) if computed_at else F.current_timestamp()
     return sums.where(F.col("reading_count") > 0).select(
         *keys,
         kind.alias("window_type"),

@@ -20,7 +20,6 @@ from fleetgauge.operators.normalize import normalize, with_event_time
 from fleetgauge.operators.windows import TUMBLING, window_averages
 from fleetgauge.schemas import TELEMETRY, TELEMETRY_TOPIC, TOPIC_PARTITIONS
 from fleetgauge.session import pin_utc
-from fleetgauge.sources.files import spread_small
 
 # The second delivery arrives after every first one.
 REPLAY_SEQ = 1 << 40
@@ -40,7 +39,7 @@ EVENTS = T.StructType([
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table with ``ts`` as an instant, which watermarks and windows need."""
     pin_utc(spark)
-    table = spread_small(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), "event_id")
+    table = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -59,14 +58,7 @@ def prepare_streaming(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, the storage every executor can reach.
-
-    Without that setting the session must be local, where a temporary folder is as good; on a cluster the
-    setting is required, since a folder of one machine is lost with it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="fleetgauge-")
+    """A fresh folder below ``spark.checkpoint.dir``, the storage every executor can reach, or below the warehouse,
+    which a session always has, where that is unset, as in tests."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/fleetgauge/{purpose}-{uuid.uuid4().hex}"

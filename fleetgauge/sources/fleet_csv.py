@@ -11,12 +11,13 @@ from fleetgauge.schemas import FLEET_CSV, FLEET_CSV_TIME
 def read_fleet_csv(spark: SparkSession, location: str) -> DataFrame:
     """Rows with the columns the header names, typed by the data-set schema; unknown columns are text.
 
-    The header is read first, since a data set may lack columns or have them in another order.
+    The header is read first, since a data set may lack columns or have them in another order. A folder whose files
+    differ in that is refused when it is read, not read by position.
     """
     header = spark.read.option("header", True).csv(location).columns
     types = {f.name: f.dataType.simpleString() for f in FLEET_CSV.fields}
     schema = ", ".join(f"`{name}` {types.get(name, 'string')}" for name in header)
-    return spark.read.option("header", True).schema(schema).csv(location)
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(location)
 
 
 def fleet_event_time(dataset: DataFrame) -> DataFrame:

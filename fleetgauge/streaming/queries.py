@@ -6,6 +6,7 @@ Each has its own checkpoint, which is its consumer position and its state. Readi
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,12 +106,17 @@ def dropped_as_duplicate(progress: dict) -> int:
     )
 
 
+def _offsets(value: str | dict | None) -> dict:
+    """Offsets of a report: a text in a live query's report, a dictionary once that report has been parsed."""
+    return json.loads(value) if isinstance(value, str) else value or {}
+
+
 def offsets_of(spark: SparkSession, progress: dict) -> DataFrame:
     """``(topic, partition, high, committed)`` from a progress report of a Kafka query, for ``consumer_lag``.
     One row per partition of the topics read, so its size does not follow the data."""
     rows = []
     for source in progress.get("sources", []):
-        latest, read = source.get("latestOffset") or {}, source.get("endOffset") or {}
+        latest, read = (_offsets(source.get(k)) for k in ("latestOffset", "endOffset"))
         for topic, partitions in latest.items():
             for partition, high in partitions.items():
                 committed = read.get(topic, {}).get(partition)

@@ -2,6 +2,8 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from fleetgauge.operators.dedup import accepted_readings
 from fleetgauge.operators.fleet import (
     anomalies,
@@ -70,7 +72,15 @@ def test_recent_lists_are_newest_first(readings, rows):
     df = readings(*[(i, 50.0 if i % 2 else 20.0, "a") for i in range(120)])
     assert rows(recent_anomalies(df), "truck_id") == [(i,) for i in range(119, 89, -2)]
     assert rows(recent_readings(accepted_readings(df)), "truck_id") == [(i,) for i in range(119, 99, -1)]
-    assert recent_anomalies(df, rows=500).count() == 50
+    assert recent_anomalies(df, rows=500).count() == 60
+
+
+def test_recent_lists_follow_arrival_over_partitions(readings, rows):
+    """Two partitions of a log take turns; numbers of the second are all larger than those of the first."""
+    df = readings(*[(i, 50.0, "a") for i in range(8)])
+    df = df.withColumns({"arrival": F.timestamp_seconds("seq"), "seq": F.expr("(seq % 2) * 8589934592 + seq div 2")})
+    assert rows(recent_readings(df, 3), "truck_id") == [(7,), (6,), (5,)]
+    assert rows(recent_anomalies(df, 3), "truck_id") == [(7,), (6,), (5,)]
 
 
 def test_recent_lists_need_no_global_sort(readings):

@@ -191,3 +191,9 @@ def test_lag_from_a_progress_report(spark):
     }
     found = {r.topic: r.lag for r in consumer_lag(offsets_of(spark, progress)).collect()}
     assert found == {"t": 6, None: 6}
+
+
+def test_offsets_of_a_live_report_are_text(spark):
+    source = {"latestOffset": '{"readings": {"0": 10, "1": 7}}', "endOffset": '{"readings": {"0": 4}}'}
+    found = offsets_of(spark, {"sources": [source]}).orderBy("partition").collect()
+    assert [(r.partition, r.high, r.committed) for r in found] == [(0, 10, 4), (1, 7, None)]
