@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 #: Bytes of text that a task works on at once, and words that it remembers.
 SLICE_BYTES = 4 << 20
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 300_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ class WordIds:
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
         self.pool = np.empty(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
@@ -68,13 +68,13 @@ class WordIds:
         new = list(new)
         parts = [self.parts(w) for w in new]
         unknown = list({p for x in parts for p in x}.difference(self.known))
-        self.known.update(zip(unknown, (x.ids for x in self.encode([p.decode() for p in unknown], add_special_tokens=False)),
-                              strict=True))
-        ids = [[i for p in x for i in self.known[p]] for x in parts]
+        self.known.update(zip(unknown, (np.array(x.ids, dtype=np.uint32).tobytes() for x in self.encode(
+            [p.decode() for p in unknown], add_special_tokens=False)), strict=True))
+        ids = [b"".join([self.known[p] for p in x]) for x in parts]
         first = len(self.index)
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lengths.sum()))
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
         self.pool = np.concatenate([self.pool, flat])
 
