@@ -1,7 +1,7 @@
 """The live picture of the fleet: latest values, roster, anomalies, recent readings, positions.
 
-Latest values are ``max_by`` aggregates over the arrival order, which combine inside each partition; nothing
-is sorted per truck.
+Latest values are ``max_by`` aggregates over the arrival order, which combine inside each partition; as they hold
+text, each task sorts its readings by truck for them.
 """
 
 from __future__ import annotations
