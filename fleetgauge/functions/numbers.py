@@ -1,7 +1,8 @@
 """Temperature arithmetic.
 
-Temperatures are rounded to two decimals before they are summed, so sums are kept as whole hundredths in a
-bigint: exact, independent of the order in which partitions are merged, and cheap inside generated code.
+Temperatures are rounded to two decimals before they are summed, so sums are whole hundredths: exact, and independent
+of the order in which partitions are merged. The hundredths of one reading are a bigint and their sum is a decimal,
+which ten thousand million of the largest readings do not overflow.
 """
 
 from __future__ import annotations
@@ -9,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A reading at or above this many degrees cannot come from a thermometer; the limit keeps the hundredths of
-# some ninety million readings of that size, and of 10^14 readings of ordinary size, inside a bigint.
-TEMPERATURE_LIMIT = 1e9
+# The hundredths of so many degrees no longer fit a bigint. ``normalize.rejected_readings`` names such readings.
+TEMPERATURE_LIMIT = 9.2e16
 
 
 def passes_temperature_filter(temperature: Column | str) -> Column:
@@ -31,6 +31,18 @@ def from_centi(centi: Column | str) -> Column:
     return c / F.lit(100.0)
 
 
+def sum_of_centi(centi: Column | str) -> Column:
+    """Exact sum of hundredths."""
+    c = F.col(centi) if isinstance(centi, str) else centi
+    return F.sum(c.cast("decimal(19,0)"))
+
+
+def centi_of_sum(total: Column | str) -> Column:
+    """Hundredths of a sum in degrees, which may be larger than any reading; null beyond 36 digits."""
+    s = F.col(total) if isinstance(total, str) else total
+    return (s.try_cast("decimal(36,2)") * 100).cast("decimal(38,0)")
+
+
 def average_of(centi_sum: Column | str, count: Column | str) -> Column:
     """``sum / count`` in degrees to four decimals, half away from zero; 0.0 when nothing was counted.
 
@@ -41,7 +53,7 @@ def average_of(centi_sum: Column | str, count: Column | str) -> Column:
     magnitude = F.abs(s)
     whole = F.call_function("div", magnitude, n)
     rest = magnitude % n
-    ten_thousandths = whole * 100 + F.call_function("div", rest * 200 + n, n * 2)
+    ten_thousandths = whole.cast("decimal(38,0)") * 100 + F.call_function("div", rest * 200 + n, n * 2)
     return F.coalesce(F.signum(s) * ten_thousandths / 10000.0, F.lit(0.0))
 
 

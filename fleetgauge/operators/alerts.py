@@ -30,12 +30,16 @@ FLEET_RULES = (
     AlertRule("HighAnomalies", "anomalies", ">", 20.0, 120, "info"),
 )
 
+# So many rules, of a few hundred bytes each, are sent to all tasks; more are joined by a shuffle.
+BROADCAST_RULES = 10_000
+
 _RULE_COLUMNS = "alert string, metric string, comparison string, threshold double, hold int, severity string"
 
 
-def _rule_table(spark: SparkSession, rules: Iterable[AlertRule]) -> DataFrame:
-    """The rules as a table to broadcast: as many rows as the caller wrote down."""
-    return F.broadcast(spark.createDataFrame([astuple(r) for r in rules], _RULE_COLUMNS))
+def _rule_table(spark: SparkSession, rules: tuple[AlertRule, ...]) -> DataFrame:
+    """The rules as a table, marked for broadcast if they are few."""
+    table = spark.createDataFrame([astuple(r) for r in rules], _RULE_COLUMNS)
+    return F.broadcast(table) if len(rules) <= BROADCAST_RULES else table
 
 
 def _holds() -> Column:

@@ -1,7 +1,7 @@
 """The live picture of the fleet: latest values, roster, anomalies, recent readings, positions.
 
-Latest values are ``max_by`` aggregates over the arrival order, which combine inside each partition; as they hold
-text, each task sorts its readings by truck for them.
+Latest values of a table are found by aggregates of numbers over the arrival order, which combine inside each partition
+by hashing, and the newest reading of each truck is then fetched by its arrival number.
 """
 
 from __future__ import annotations
@@ -23,11 +23,29 @@ ROSTER_PAGE = 200
 
 
 def fleet_latest(accepted: DataFrame, order: str = "seq") -> DataFrame:
-    """Per truck the last temperature (null included) and timestamp, and the last known fuel and position."""
+    """Per truck the last temperature (null included) and timestamp, and the last known fuel and position.
+
+    An aggregate that held the timestamp text would sort all readings by truck. Therefore it holds numbers alone, and
+    the text comes from a join on the arrival number, for which both sides read the same columns and so share the
+    exchange of whatever made the readings. A stream can't be joined with its own aggregate and keeps the text.
+    """
 
     def last_known(name: str):
         return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
 
+    if not accepted.isStreaming:
+        known = ("fuel_level", "latitude", "longitude")
+        newest = accepted.groupBy("truck_id").agg(
+            F.max(order).alias(order), *[last_known(c).alias(f"_{c}") for c in known]
+        )
+        rows = accepted.select("truck_id", order, "temperature", "timestamp", *known)
+        return rows.join(newest, ["truck_id", order]).select(
+            "truck_id",
+            F.col("temperature").alias("last_temperature"),
+            F.col("timestamp").alias("last_timestamp"),
+            *[F.coalesce(c, f"_{c}").alias(c) for c in known],
+            F.lit("active").alias("status"),
+        )
     return accepted.groupBy("truck_id").agg(
         F.max_by("temperature", order).alias("last_temperature"),
         F.max_by("timestamp", order).alias("last_timestamp"),

@@ -51,3 +51,19 @@ def normalize(readings: DataFrame) -> DataFrame:
         centi.alias("temperature_centi"),
         *carried,
     )
+
+
+def rejected_readings(readings: DataFrame) -> DataFrame:
+    """The readings that ``normalize`` leaves out, each with the first ``reason`` that applies."""
+    if "event_time" not in readings.columns:
+        readings = with_event_time(readings)
+    t = F.col("temperature")
+    reason = (
+        F.when(F.col("truck_id").isNull(), "no truck")
+        .when(t.isNull(), "no temperature")
+        .when(F.isnan(t), "temperature is not a number")
+        .when(t <= 0, "temperature not above zero")
+        .when(t >= TEMPERATURE_LIMIT, "temperature too large to add up")
+        .when(F.col("event_time").isNull(), "timestamp unreadable")
+    )
+    return readings.withColumn("reason", reason).where(F.col("reason").isNotNull())

@@ -71,13 +71,32 @@ def parsed_rate(rates: DataFrame) -> DataFrame:
     return rates.withColumn("parsed_rate", F.greatest(F.lit(0.0), left))
 
 
-def throughput_history(rates: DataFrame, points: int = HISTORY_POINTS) -> DataFrame:
-    """The last samples of ingestion and filter rate."""
-    return (
-        rates.select("sampled_at", F.col("ingestion_rate").alias("ingestion"), F.col("filter_rate").alias("filtered"))
+def throughput_history(
+    rates: DataFrame, points: int = HISTORY_POINTS, refresh: int = RATE_REFRESH
+) -> DataFrame:
+    """Ingestion and filter rate at the last ``points`` refreshes, newest first; zero where nothing arrived, for which
+    ``rates`` has no row. The newest ``points`` rows hold all that is needed, so the grid is laid over those."""
+    newest = (
+        rates.select("sampled_at", F.struct("ingestion_rate", "filter_rate").alias("rate"))
         .orderBy(F.col("sampled_at").desc())
         .limit(points)
     )
+    held = newest.agg(
+        F.max("sampled_at").alias("_end"),
+        F.map_from_entries(F.collect_list(F.struct("sampled_at", "rate"))).alias("_seen"),
+    )
+
+    def back(steps: int) -> Column:
+        return F.make_dt_interval(secs=F.lit(-steps * refresh))
+
+    instants = F.sequence(F.col("_end"), F.col("_end") + back(points - 1), back(1))
+    grid = held.select(F.explode(instants).alias("sampled_at"), "_seen")
+    rate = F.try_element_at("_seen", F.col("sampled_at"))
+    return grid.select(
+        "sampled_at",
+        F.coalesce(rate["ingestion_rate"], F.lit(0.0)).alias("ingestion"),
+        F.coalesce(rate["filter_rate"], F.lit(0.0)).alias("filtered"),
+    )
 
 
 def counter_rate(
@@ -90,7 +109,7 @@ def counter_rate(
     sample.
 
     A value below its predecessor is a restart, and counts from zero. ``samples`` are ``(series, ts, value)``,
-    one per series and instant. A series may hold any share of the samples, so it is worked on in spans of
+    one per series and instant; a sample without a value, or with NaN, is passed over. A series may hold any share of the samples, so it is worked on in spans of
     time. A span is also shown the samples of the ``window`` seconds before it, and takes the predecessor of
     the first of those from one row per earlier span.
     """
@@ -104,7 +123,8 @@ def counter_rate(
     at = F.unix_micros("ts")
     own, next_shown = span_at(at), span_at(at + window_us)
     shown = (
-        samples.select(
+        samples.where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .select(
             *series,
             "ts",
             "value",
@@ -129,10 +149,9 @@ def counter_rate(
     previous, value = F.coalesce("_lag", "_carried"), F.col("value")
     increase = F.when(previous.isNull(), 0.0).when(value >= previous, value - previous).otherwise(value)
     grown = joined.withColumn("_increase", increase)
-    # The difference of two running sums costs the same however many samples the window covers.
-    up_to_now = F.sum("_increase").over(inside.rangeBetween(Window.unboundedPreceding, 0))
-    up_to_window = F.sum("_increase").over(inside.rangeBetween(Window.unboundedPreceding, -window_us - 1))
-    trailing = grown.withColumn("_sum", up_to_now - F.coalesce(up_to_window, F.lit(0.0)))
+    # A frame of its own for each sample: a difference of running sums would carry the rounding of every earlier
+    # increase along. It costs as many additions as the window covers samples.
+    trailing = grown.withColumn("_sum", F.sum("_increase").over(inside.rangeBetween(-window_us, 0)))
     return trailing.where(span_at(F.col("_at")) == F.col("_span")).select(
         *series, "ts", "value", (F.col("_sum") / F.lit(float(window))).alias("rate")
     )

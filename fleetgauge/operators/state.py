@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.numbers import average_of, floor_div, from_centi, to_centi
+from fleetgauge.functions.numbers import average_of, centi_of_sum, floor_div, from_centi, sum_of_centi
 from fleetgauge.functions.payloads import state_key, truck_of_key
+from fleetgauge.functions.times import instant
 from fleetgauge.operators.windows import partial_sums
 
 # Arrival numbers per block of the running sums. ``seq`` is unique, so a block holds at most this many rows.
@@ -40,7 +43,7 @@ def running_state(
         blocked.groupBy(*keys, "_block")
         .agg(
             F.min(order).alias("_first"),
-            F.sum("temperature_centi").alias("_sum"),
+            sum_of_centi("temperature_centi").alias("_sum"),
             F.count("temperature_centi").alias("_count"),
         )
         .select(
@@ -57,7 +60,7 @@ def running_state(
         *keys,
         "_block",
         order,
-        F.sum("temperature_centi").over(so_far).alias("_sum"),
+        sum_of_centi("temperature_centi").over(so_far).alias("_sum"),
         F.count("temperature_centi").over(so_far).alias("_count"),
     )
     total = F.col("_sum_before") + F.col("_sum")
@@ -118,14 +121,31 @@ def materialize_changelog(changelog: DataFrame, order: str = "seq") -> DataFrame
         F.coalesce("value.sum", F.lit(0.0)).alias("sum"),
         F.coalesce("value.count", F.lit(0).cast("bigint")).alias("count"),
     )
-    return live.withColumn("average", average_of(to_centi("sum"), "count"))
+    return live.withColumn("average", average_of(centi_of_sum("sum"), "count"))
 
 
 def state_as_of(changelog: DataFrame, position: int | Column, order: str = "seq") -> DataFrame:
-    """Live state as it was after the log entry at ``position``."""
+    """Live state as it was after the log entry at ``position``, for a log of one partition or a table with one order
+    over all its entries. Positions of several partitions can't be compared: use one of the two forms below."""
     return materialize_changelog(changelog.where(F.col(order) <= position), order)
 
 
+def state_as_of_time(
+    changelog: DataFrame, moment: datetime | Column, arrival: str = "timestamp", order: str = "seq"
+) -> DataFrame:
+    """Live state of what had arrived at ``moment``, that instant included, over any number of partitions."""
+    at = instant(moment) if isinstance(moment, datetime) else moment
+    return materialize_changelog(changelog.where(F.col(arrival) <= at), order)
+
+
+def state_as_of_offsets(changelog: DataFrame, offsets: DataFrame, order: str = "seq") -> DataFrame:
+    """Live state after the entry at ``offset`` of each ``partition`` in ``offsets``; of a partition that is not
+    there nothing has been read."""
+    until = offsets.select("partition", F.col("offset").alias("_until"))
+    read = changelog.join(until, "partition").where(F.col("offset") <= F.col("_until"))
+    return materialize_changelog(read, order)
+
+
 def reconcile_states(expected: DataFrame, recovered: DataFrame, report_extra: bool = False) -> DataFrame:
     """Expected against recovered state by truck, with ``matches``.
 

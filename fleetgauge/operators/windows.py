@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.config import DEFAULT_WINDOWS, WindowConfig, seconds
-from fleetgauge.functions.numbers import average_of
+from fleetgauge.functions.numbers import average_of, sum_of_centi
 from fleetgauge.functions.times import instant, iso_utc
 
 TUMBLING = "tumbling"
@@ -24,7 +24,7 @@ HOPPING = "hopping"
 def partial_sums(normalized: DataFrame, *keys: Column | str) -> DataFrame:
     """``(centi_sum, reading_count)`` per key: the mergeable state behind every average."""
     return normalized.groupBy(*keys).agg(
-        F.sum("temperature_centi").alias("centi_sum"),
+        sum_of_centi("temperature_centi").alias("centi_sum"),
         F.count("temperature_centi").alias("reading_count"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.config import seconds
+from fleetgauge.functions.numbers import sum_of_centi
 
 SALTS = 16
 
@@ -15,17 +16,18 @@ def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: flo
     same ``window`` seconds, with ``zscore``. Windows without spread have none.
 
     Count, sum and sum of squares combine inside each partition and are exact, so the statistics do not
-    depend on the order of the readings.
+    depend on the order of the readings. Only squares that add up to more than 38 digits are added as doubles.
     """
     timed = normalized.withColumn("_window", F.window("event_time", seconds(window)))
-    centi = F.col("temperature_centi").cast("decimal(18,0)")
+    centi = F.col("temperature_centi").cast("decimal(19,0)")
+    square = centi * centi
     stats = timed.groupBy("truck_id", "_window").agg(
         F.count("*").alias("_n"),
-        F.sum("temperature_centi").alias("_sum"),
-        F.sum((centi * centi).cast("decimal(28,0)")).alias("_squares"),
+        sum_of_centi("temperature_centi").alias("_sum"),
+        F.coalesce(F.try_sum(square).cast("double"), F.sum(square.cast("double"))).alias("_squares"),
     )
     n, total = F.col("_n").cast("double"), F.col("_sum").cast("double")
-    spread = F.when(F.col("_n") > 1, n * F.col("_squares").cast("double") - total * total)
+    spread = F.when(F.col("_n") > 1, n * F.col("_squares") - total * total)
     score = (F.col("temperature_centi") * n - total) / F.sqrt(F.nullif(spread, F.lit(0.0)))
     # A window's readings meet its one row of statistics in SALTS tasks, as a window may hold any share of
     # the readings.

@@ -193,6 +193,14 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def counter_samples_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counters, with NaN or nothing for some of the samples."""
+    value = F.col("value")
+    return counter_samples(spark, sf_dir).withColumn(
+        "value", F.when(value % 7 == 6, F.lit(float("nan"))).when(value % 11 != 10, value)
+    )
+
+
 def gauge_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three gauges the alert rules watch, sampled at each event."""
     value = F.col("value")

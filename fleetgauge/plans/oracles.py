@@ -225,10 +225,10 @@ stamped AS (
 )"""
 
 
-def counter(window: int) -> str:
+def counter(window: int, having: str = "") -> str:
     return f"""
 WITH samples AS (
-  SELECT event_type AS metric, ts, CAST(max(event_id % 1000) AS DOUBLE) AS value FROM events GROUP BY ALL
+  SELECT event_type AS metric, ts, CAST(max(event_id % 1000) AS DOUBLE) AS value FROM events GROUP BY ALL {having}
 ), grown AS (
   SELECT *, CASE WHEN lag(value) OVER o IS NULL THEN 0.0
                  WHEN value >= lag(value) OVER o THEN value - lag(value) OVER o ELSE value END AS increase
@@ -321,6 +321,14 @@ SELECT DISTINCT truck_id, 'truck:' || truck_id AS key, truck_id AS decoded FROM
     "event_times": f"""{base(raw())} SELECT seq, "timestamp", {iso('event_time')} AS event_time FROM raw""",
     "normalized": f"""{base(*NORMALIZED)}
 SELECT truck_id, centi / 100.0 AS temperature_c, {iso('event_time')} AS event_time, "timestamp", seq FROM norm""",
+    "rejected_readings": f"""{base(raw())}, judged AS (
+  SELECT seq, truck_id, temperature, "timestamp",
+         CASE WHEN truck_id IS NULL THEN 'no truck' WHEN temperature IS NULL THEN 'no temperature'
+              WHEN temperature <= 0 THEN 'temperature not above zero'
+              WHEN event_time IS NULL THEN 'timestamp unreadable' END AS reason
+  FROM raw
+)
+SELECT * FROM judged WHERE reason IS NOT NULL""",
     "validate_messages": """
 WITH judged AS (
   SELECT event_id, CASE
@@ -378,6 +386,16 @@ FROM running QUALIFY row_number() OVER (PARTITION BY truck_id ORDER BY seq DESC)
     "state_as_of": f"""{base(*NORMALIZED, RUNNING.replace('running AS', 'all_running AS'), '''
 running AS (SELECT * FROM all_running WHERE seq <= (SELECT max(event_id) // 2 FROM events))''', LIVE)}
 SELECT * FROM live""",
+    "state_as_of_time": f"""{base(*NORMALIZED, RUNNING.replace('running AS', 'all_running AS'), """
+running AS (
+  SELECT a.* FROM all_running a JOIN raw ON raw.seq = a.seq
+  WHERE epoch_us(arrival) <= (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events)
+)""", LIVE)} SELECT * FROM live""",
+    "state_as_of_offsets": f"""{base(*NORMALIZED, RUNNING.replace('running AS', 'all_running AS'), """
+ends AS (SELECT (user_id + 1) % 20 AS part, max(event_id) // 2 AS until FROM events GROUP BY ALL),
+running AS (
+  SELECT a.* FROM all_running a JOIN ends ON part = a.truck_id % 20 WHERE part % 5 <> 0 AND seq <= until
+)""", LIVE)} SELECT * FROM live""",
     "reconciled_states": f"""{base(*NORMALIZED, RUNNING, LIVE, TOTALS)}
 SELECT t.truck_id, t."sum" AS expected_sum, t."count" AS expected_count,
        coalesce(l."sum", 0.0) AS recovered_sum, coalesce(l."count", 0) AS recovered_count,
@@ -420,8 +438,10 @@ SELECT {iso_s('sampled_at')} AS sampled_at, ingestion_rate, filter_rate, duplica
 SELECT {iso_s('sampled_at')} AS sampled_at, ingestion_rate, filter_rate,
        greatest(0.0, round(ingestion_rate - filter_rate, 2)) AS parsed_rate FROM rates""",
     "throughput_history": f"""{base(raw(), STAGED, stage_rate(5, 1, False))}
-SELECT {iso_s('sampled_at')} AS sampled_at, ingestion_rate AS ingestion, filter_rate AS filtered
-FROM (SELECT * FROM rates ORDER BY sampled_at DESC LIMIT 60)""",
+SELECT {iso_s('newest - k')} AS sampled_at, coalesce(ingestion_rate, 0.0) AS ingestion,
+       coalesce(filter_rate, 0.0) AS filtered
+FROM (SELECT max(sampled_at) AS newest FROM rates) CROSS JOIN range(0, 60) AS back(k)
+LEFT JOIN rates ON sampled_at = newest - k WHERE newest IS NOT NULL""",
     "consumer_lag": """
 WITH offsets AS (
   SELECT event_type AS topic, user_id % 20 AS part, max(event_id) + 1 AS high,
@@ -433,6 +453,8 @@ SELECT topic, sum(CASE WHEN committed >= 0 THEN greatest(0, high - committed) EL
        CASE WHEN topic IS NULL THEN 'ok' END AS status
 FROM offsets GROUP BY ROLLUP (topic)""",
     "counter_rates": counter(60),
+    "counter_rates_with_gaps": counter(
+        60, "HAVING max(event_id % 1000) % 7 <> 6 AND max(event_id % 1000) % 11 <> 10"),
     "counter_rates_hourly": counter(3600),
     "alert_states": f"""{ALERTS}
 SELECT alert, severity, metric, {iso('ts')} AS ts, value, {iso('since')} AS active_since, state FROM states""",

@@ -12,7 +12,7 @@ from fleetgauge.functions.times import iso_utc
 from fleetgauge.operators import audits, fleet, quality, rates, state, validation, zscore
 from fleetgauge.operators.alerts import current_alerts, sustained_alerts
 from fleetgauge.operators.dedup import accepted_readings, dedup_readings, split_stages
-from fleetgauge.operators.normalize import normalize, temperature_filter, with_event_time
+from fleetgauge.operators.normalize import normalize, rejected_readings as rejected, temperature_filter, with_event_time
 from fleetgauge.operators.windows import (
     expected_average,
     hopping_average,
@@ -152,6 +152,12 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _iso(rows.select("truck_id", "temperature_c", "event_time", "timestamp", "seq"), "event_time")
 
 
+@query
+def rejected_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rejected(tables.raw_readings(spark, sf_dir))
+    return rows.select("seq", "truck_id", "temperature", "timestamp", "reason")
+
+
 @query
 def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = validation.validate_messages(tables.raw_messages(spark, sf_dir))
@@ -293,6 +299,43 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.state_as_of(_changelog_with_deletions(spark, sf_dir), middle.scalar())
 
 
+def _changelog_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with deletions as it lies in twenty partitions, read back by its decoder."""
+    log = encode_changelog(_changelog_with_deletions(spark, sf_dir))
+    arrivals = tables.raw_readings(spark, sf_dir).select("seq", F.col("arrival").alias("timestamp"))
+    truck = truck_of_key("key")
+    rows = log.join(arrivals, "seq").select(
+        "key",
+        "value",
+        F.pmod(truck, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
+        F.col("seq").alias("offset"),
+        "timestamp",
+    )
+    return decode_changelog(rows)
+
+
+@query
+def state_as_of_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State when half of the time had passed, from a log of several partitions."""
+    micros = F.unix_micros("ts")
+    middle = tables.events(spark, sf_dir).select(
+        F.timestamp_micros(F.call_function("div", F.min(micros) + F.max(micros), F.lit(2)))
+    )
+    return state.state_as_of_time(_changelog_in_partitions(spark, sf_dir), middle.scalar())
+
+
+@query
+def state_as_of_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State after half of the event numbers of each partition; every fifth partition has not been read."""
+    until = (
+        tables.events(spark, sf_dir)
+        .groupBy(F.pmod(F.col("user_id") + 1, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"))
+        .agg(F.call_function("div", F.max("event_id"), F.lit(2)).alias("offset"))
+        .where(F.col("partition") % 5 != 0)
+    )
+    return state.state_as_of_offsets(_changelog_in_partitions(spark, sf_dir), until)
+
+
 @query
 def reconciled_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals against the state rebuilt from a log with deletions, so some trucks differ."""
@@ -384,6 +427,11 @@ def counter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _iso(rates.counter_rate(tables.counter_samples(spark, sf_dir)), "ts")
 
 
+@query
+def counter_rates_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _iso(rates.counter_rate(tables.counter_samples_with_gaps(spark, sf_dir)), "ts")
+
+
 @query
 def counter_rates_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = tables.counter_samples(spark, sf_dir)

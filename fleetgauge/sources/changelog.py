@@ -19,10 +19,12 @@ def encode_changelog(changelog: DataFrame) -> DataFrame:
 
 
 def decode_changelog(rows: DataFrame) -> DataFrame:
-    """``(key, value struct, seq)``; log rows take their order from partition and offset."""
+    """``(key, value struct, seq)``; log rows take their order from partition and offset, and keep both and the time
+    of arrival."""
     order = F.col("seq") if "seq" in rows.columns else arrival_number()
     value = F.when(F.col("value").isNotNull(), decode("value", STATE_VALUE))
-    return rows.select("key", value.alias("value"), order.alias("seq"))
+    place = [c for c in ("partition", "offset", "timestamp") if c in rows.columns]
+    return rows.select("key", value.alias("value"), order.alias("seq"), *place)
 
 
 def read_changelog(

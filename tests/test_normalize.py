@@ -6,7 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.times import iso_utc, parse_event_time
-from fleetgauge.operators.normalize import normalize, temperature_filter
+from fleetgauge.operators.normalize import normalize, rejected_readings, temperature_filter
+from fleetgauge.operators.state import truck_totals
+from fleetgauge.operators.windows import partial_sums
 
 NAN = float("nan")
 
@@ -31,11 +33,40 @@ def test_maps_a_valid_reading(readings):
         (1, 35.5, None),
         (None, 35.5, "2026-07-18T08:50:45+00:00"),
         (1, NAN, "2026-07-18T08:50:45+00:00"),
-        (1, 1e12, "2026-07-18T08:50:45+00:00"),
+        (1, float("inf"), "2026-07-18T08:50:45+00:00"),
+        (1, 1e17, "2026-07-18T08:50:45+00:00"),
     ],
 )
 def test_drops_what_cannot_be_averaged(readings, row):
     assert normalize(readings(row)).count() == 0
+    assert rejected_readings(readings(row)).count() == 1
+
+
+def test_very_large_readings_are_counted_exactly(readings):
+    when = "2031-02-03T04:05:06Z"
+    df = normalize(readings((4, 1e9, when), (4, 1e15, when), (4, 9e16, when), (4, 9e16, when), (4, 30.25, when)))
+    (row,) = partial_sums(df, "truck_id").collect()
+    assert row.reading_count == 5
+    assert int(row.centi_sum) == 10**11 + 10**17 + 2 * 9 * 10**18 + 3025
+    (total,) = truck_totals(df).collect()
+    assert total.average == pytest.approx((1e9 + 1e15 + 18e16 + 30.25) / 5)
+
+
+def test_a_rejected_reading_has_a_reason_and_the_others_are_normalised(readings, rows):
+    when = "2031-02-03T04:05:06Z"
+    df = readings(
+        (None, 5.0, when), (1, None, when), (2, NAN, when), (3, 0.0, when), (4, float("inf"), when), (5, 5.0, "soon"),
+        (6, 5.0, when),
+    )
+    assert rows(rejected_readings(df), "seq", "reason", order="seq") == [
+        (0, "no truck"),
+        (1, "no temperature"),
+        (2, "temperature is not a number"),
+        (3, "temperature not above zero"),
+        (4, "temperature too large to add up"),
+        (5, "timestamp unreadable"),
+    ]
+    assert rows(normalize(df), "truck_id") == [(6,)]
 
 
 TEXTS = [

@@ -48,6 +48,17 @@ def test_counter_rate_matches_a_loop(samples, span):
     assert [r.rate for r in found if r.metric == "b"] == [0.0] * 5
 
 
+def test_counter_rate_passes_over_samples_without_a_value(samples):
+    df = samples(("a", 0, 10.0), ("a", 10, float("nan")), ("a", 20, None), ("a", 30, 16.0), ("a", 1200, 28.0))
+    found = counter_rate(df, window=60).orderBy("ts").collect()
+    assert [(seconds(r), r.rate) for r in found] == [(0, 0.0), (30, 0.1), (1200, 0.2)]
+
+
+def test_counter_rate_forgets_a_huge_increase(samples):
+    df = samples(("a", 0, 0.0), ("a", 10, 1e17), ("a", 100, 3.0), ("a", 200, 10.0))
+    assert [r.rate for r in counter_rate(df, window=60).orderBy("ts").collect()] == [0.0, 1e17 / 60, 3 / 60, 7 / 60]
+
+
 @pytest.mark.parametrize("span", [10, 37, 3600])
 def test_alerts_match_a_loop(samples, span):
     rng = random.Random(span)
@@ -128,6 +139,13 @@ def test_stage_rates(arrivals):
     assert [r.ingestion for r in throughput_history(stage_rates(df), 2).collect()] == [0.2, 0.2]
 
 
+def test_throughput_history_shows_idle_seconds(arrivals):
+    df = arrivals((0.5, 1, 30.0, "a"), (20.5, 1, 30.0, "b"))
+    found = throughput_history(stage_rates(df), 10).withColumn("s", F.unix_seconds("sampled_at")).collect()
+    assert [(r.s, r.ingestion) for r in found] == [(s, 0.2 if s > 20 else 0.0) for s in range(25, 15, -1)]
+    assert throughput_history(stage_rates(df.limit(0)), 10).count() == 0
+
+
 def test_totals(readings, spark):
     df = readings(
         (None, 1.0, "a"), (1, 50.0, "a"), (1, 50.0, "a"), (1, -1.0, "b"), (2, -1.0, "a"), (3, None, "a"), (3, 1.0, None)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fleetgauge.operators.alerts import sustained_alerts
 from fleetgauge.operators.audits import recovery_audit
+from fleetgauge.operators.dedup import accepted_readings
+from fleetgauge.operators.fleet import fleet_latest
 from fleetgauge.operators.rates import counter_rate
 from fleetgauge.operators.state import running_state
 from fleetgauge.operators.windows import window_averages
@@ -57,6 +59,12 @@ def test_hot_truck_is_cut_into_blocks(spark):
     assert len(alone) == 1
 
 
+def test_latest_values_sort_no_readings_and_remove_duplicates_once(spark):
+    plan = executed(fleet_latest(accepted_readings(fleet_tables.raw_readings(spark, SF_DIR))))
+    assert "SortAggregate" not in plan
+    assert sum("timestamp" in k for k in exchange_keys(plan)) == 1, plan
+
+
 @pytest.mark.parametrize("name", ["counter", "alerts"])
 def test_series_are_cut_into_spans(spark, name):
     if name == "counter":

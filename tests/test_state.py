@@ -1,4 +1,5 @@
 import random
+from datetime import datetime, timezone
 
 import pytest
 
@@ -12,9 +13,12 @@ from fleetgauge.operators.state import (
     reconcile_states,
     running_state,
     state_as_of,
+    state_as_of_offsets,
+    state_as_of_time,
     state_of,
     truck_totals,
 )
+from fleetgauge.sources.changelog import decode_changelog
 
 T = "2026-01-01T00:00:{:02d}+00:00"
 
@@ -112,3 +116,17 @@ def test_state_keys_round_trip(spark):
     assert [(r.k, r.t) for r in df.select("k", truck_of_key("k").alias("t")).collect()] == [
         ("truck:11", 11), ("truck:22", 22),
     ]
+
+
+def test_state_as_of_over_interleaved_partitions(spark, rows):
+    """Two partitions whose messages arrive in turn; positions of one say nothing about the other."""
+    log = spark.sql(
+        "SELECT 'truck:' || t AS key, to_json(named_struct('sum', double(s), 'count', bigint(n))) AS value, p AS partition, "
+        "bigint(o) AS offset, timestamp_seconds(at) AS timestamp FROM VALUES (1, 10, 1, 0, 0, 100), (2, 4, 1, 1, 0, 101), "
+        "(1, 21, 2, 0, 1, 102), (2, 9, 2, 1, 1, 103), (3, 7, 1, 1, 2, 104) AS v(t, s, n, p, o, at)"
+    )
+    log = decode_changelog(log)
+    moment = datetime.fromtimestamp(102, timezone.utc)
+    assert rows(state_as_of_time(log, moment), "truck_id", "sum", order="truck_id") == [(1, 21.0), (2, 4.0)]
+    offsets = spark.createDataFrame([(1, 1)], "partition int, offset bigint")
+    assert rows(state_as_of_offsets(log, offsets), "truck_id", "sum") == [(2, 9.0)]
