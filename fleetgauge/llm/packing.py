@@ -11,6 +11,7 @@ that repeat an id are packed once each; an empty table gives no piece.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
@@ -28,6 +29,12 @@ from fleetgauge.llm.common import KNOWN_WORDS, as_table, batch_of, id_bytes, kep
 CAPACITY = 2048
 END = 0
 SHARD_PIECES = 4096
+#: Words that the tokenizer encodes in one call; its answer is several hundred bytes for each.
+ENCODED_AT_ONCE = 2000
+
+
+#: A mark behind an ASCII letter or digit, or one of the accented letters of two bytes that begin with C3.
+MARK = re.compile(rb"[.,;:!?](?:(?<=[A-Za-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 
 
 class WordIds:
@@ -38,25 +45,31 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
+        self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.known: dict[bytes, bytes] = {}
         self.pool = np.empty(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
     @staticmethod
-    def parts(word: bytes) -> tuple[bytes, ...]:
-        """Letters and the marks behind them, which the tokenizer also takes apart; other words are left whole. The
-        tokenizer lower-cases, so that ASCII letters may be lower-cased before."""
-        stem = word.rstrip(b".,;:!?")
-        if stem.isalpha():
-            stem = stem.lower()
-        elif not stem.decode().isalpha():
-            return (word,)
-        return (stem, word[len(stem):]) if len(stem) < len(word) else (stem,)
+    def words(text: bytes) -> list[bytes]:
+        """Words, without the marks behind them, from which the tokenizer also parts letters and digits. It lower-cases
+        after composing letters and accents, so that ASCII letters may be lower-cased before where no accent stands
+        by itself (U+0300 to U+036F)."""
+        if b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        return MARK.sub(rb" \g<0>", text).split()
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. The words are encoded as one text with blanks between them; an
+        id belongs to the word that its characters begin in."""
+        text = b" ".join(words).decode()
+        answer = self.tokenizer.encode(text, add_special_tokens=False)
+        begins = np.fromiter((x for x, _ in answer.offsets), dtype=np.int64, count=len(answer))
+        behind = np.cumsum(np.fromiter(map(len, text.split(" ")), dtype=np.int64, count=len(words)) + 1)
+        return np.array(answer.ids, dtype=np.uint32), np.diff(np.searchsorted(begins, behind), prepend=0)
 
     def learn(self, words: list[bytes]) -> None:
         new = set(words).difference(self.index)
@@ -66,21 +79,16 @@ class WordIds:
         if not new:
             return
         new = list(new)
-        parts = [self.parts(w) for w in new]
-        unknown = list({p for x in parts for p in x}.difference(self.known))
-        self.known.update(zip(unknown, (np.array(x.ids, dtype=np.uint32).tobytes() for x in self.encode(
-            [p.decode() for p in unknown], add_special_tokens=False)), strict=True))
-        ids = [b"".join([self.known[p] for p in x]) for x in parts]
         first = len(self.index)
         self.index.update(zip(new, range(first, first + len(new)), strict=True))
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
+        found = [self.encode(new[k:k + ENCODED_AT_ONCE]) for k in range(0, len(new), ENCODED_AT_ONCE)]
+        lengths = np.concatenate([n for _, n in found])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
-        self.pool = np.concatenate([self.pool, flat])
+        self.pool = np.concatenate([self.pool, *(ids for ids, _ in found)])
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [t.split() for t in texts]
+        split = [self.words(t) for t in texts]
         words = [w for x in split for w in x]
         self.learn(words)
         at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
