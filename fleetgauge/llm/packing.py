@@ -16,6 +16,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from fleetgauge.llm.common import KNOWN_WORDS, as_table, batch_of, id_bytes, kept_in_worker, slices, sql_type
+from fleetgauge.llm.common import as_table, batch_of, id_bytes, kept_in_worker, slices, sql_type
 
 CAPACITY = 2048
 END = 0
 SHARD_PIECES = 4096
+#: Words whose ids a worker keeps, some 150 bytes each; beyond that it starts afresh.
+REMEMBERED = 500_000
 #: Words that the tokenizer encodes in one call; its answer is several hundred bytes for each.
 ENCODED_AT_ONCE = 2000
 
@@ -73,7 +76,7 @@ class WordIds:
 
     def learn(self, words: list[bytes]) -> None:
         new = set(words).difference(self.index)
-        if len(self.index) + len(new) > KNOWN_WORDS:
+        if len(self.index) + len(new) > REMEMBERED:
             self.forget()
             new = set(words)
         if not new:
@@ -89,7 +92,7 @@ class WordIds:
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [self.words(t) for t in texts]
-        words = [w for x in split for w in x]
+        words = list(chain.from_iterable(split))
         self.learn(words)
         at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         starts, lengths = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
