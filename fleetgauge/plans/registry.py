@@ -377,12 +377,12 @@ def fleet_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.anomalies(accepted_readings(tables.raw_readings(spark, sf_dir)))
+    return fleet.anomalies(accepted_readings(tables.raw_readings(spark, sf_dir))).drop("arrival")
 
 
 @query
 def recent_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.recent_anomalies(accepted_readings(tables.raw_readings(spark, sf_dir)))
+    return fleet.recent_anomalies(accepted_readings(tables.raw_readings(spark, sf_dir))).drop("arrival")
 
 
 @query
