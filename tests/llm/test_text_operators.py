@@ -12,6 +12,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -366,3 +367,26 @@ def test_toxicity_held_out(spark, docs, none):
     assert toxicity.predict(none, model).count() == 0
     assert toxicity.learn(df, labels.filter("toxic = 0")) is None
     assert toxicity.predict(df, None).filter("score != 0").count() == 0
+
+
+def test_toxicity_keeps_all_words_and_pairs(spark):
+    places, same, n = {}, None, 0
+    while same is None:  # two words that share a place among 2**18
+        word = f"w{n}"
+        place = xxhash.xxh64_intdigest(word.encode()) & ((1 << 18) - 1)
+        same, places[place], n = (places[place], word) if place in places else None, word, n + 1
+    rng, data = random.Random(5), []
+    for i in range(600):
+        own = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(60)]
+        own[::6] = [same[int(i % 8 == 0)]] * 10
+        data.append((i, " ".join(own), int(i % 8 == 0)))
+    df = spark.createDataFrame(data, "doc_id bigint, text string, toxic int").repartition(3)
+    model = toxicity.learn(df, df)
+    found = toxicity.predict(df, model).join(df, "doc_id").filter(language_fold())
+    assert found.filter("predicted = toxic").count() >= 0.95 * found.count() > 0
+    assert model.rest is None and len(model.keys) > 2
+    want = by_id(toxicity.predict(df, model), "figure", "score")
+    for cached in (0, 2):  # weights that aren't sent to the tasks are joined: the same scores
+        few = toxicity.learn(df, df, cached=cached)
+        assert len(few.keys) == cached and cached + few.rest.count() == len(model.keys)
+        assert by_id(toxicity.predict(df, few), "figure", "score") == {i: pytest.approx(v) for i, v in want.items()}
