@@ -161,6 +161,41 @@ def test_compression_bands():
     assert quality.ratios(compress, b"") == (1.0, 0.0)
 
 
+def noise_words(rng, n: int, width: int, letters: str) -> str:
+    return " ".join("".join(rng.choices(letters, k=width)) for _ in range(n // width + 1))[:n]
+
+
+def test_noise_is_rejected_in_every_band(spark):
+    rng = random.Random(4)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    printable = "".join(map(chr, range(33, 127)))
+    vocabulary = ["".join(rng.choices("etaoinshrdlucm", k=rng.randint(2, 9))) for _ in range(1500)]
+    tops = [b.least for b in quality.WHOLE_BANDS[1:]] + [40_000]
+    sizes = sorted({n for a, b in zip(tops, tops[1:]) for n in (a, (a + b) // 2, b - 1) if a >= 192})
+
+    def text(n):
+        return " ".join(rng.choices(vocabulary, weights=[1 / (k + 3) for k in range(1500)], k=n))[:n]
+
+    def cut(kind, n):
+        if kind == "text":
+            return text(n)
+        if kind == "part":  # a quarter noise, in a long text
+            return noise_words(rng, n // 4, 32, base64) + " " + text(n - n // 4 - 1)
+        return noise_words(rng, n, 8 if kind == "short" else 32, printable if kind == "printable" else base64)
+
+    data = [(f"{kind} {n}", cut(kind, n)) for n in sizes for kind in ("base64", "short", "printable", "text") if kind != "short" or n >= 512]
+    data += [(f"part {n}", cut("part", n)) for n in (100_000, 200_000)]
+    found = by_id(quality.quality_rules(spark.createDataFrame(data, "doc_id string, text string")), "kept", "ratio", "bad_chunks", "n_words")
+    for name, (kept, ratio, bad, n_words) in found.items():
+        kind, n = name.split()
+        band = quality.limits(quality.WHOLE_BANDS, int(n))
+        if kind == "text":
+            assert band.low <= ratio <= band.high and bad == 0 and kept == (n_words >= 20), (name, ratio)
+        else:
+            assert not kept and bad > quality.BAD_CHUNKS, (name, ratio, bad)
+            assert kind == "part" or ratio > band.high, (name, ratio)
+
+
 def test_packing(docs, none, rows):
     tokenizer, capacity = Tokenizer.from_file(WORD_TOKENIZER), 256
     want = set()
