@@ -1,10 +1,12 @@
 """Secrets in text: patterns of known kinds, and stretches of high Shannon entropy. Only built-in functions.
 
-The entropy scan looks at candidate strings, runs of the characters of one class. A window slides over a candidate
-by one character a step. The counts of its symbols are kept from step to step: the symbol that enters is added, the
+The entropy scan looks at candidate strings, the longest runs of the characters of each class; a hexadecimal run inside
+a path is a candidate of its own. A window slides over a candidate by one character a step. The counts of its symbols are kept from step to step: the symbol that enters is added, the
 one that leaves is taken away, and the sum of ``c log2 c`` changes by those two terms. The entropy of a window of
 ``w`` characters is ``log2 w - sum / w``. A candidate is reported from the first to the last window at or above the
-limit of its class, unless the allow-list knows it or a span of a known kind overlaps it.
+limit of its class, unless the allow-list knows that span. Words that say they are examples, and UUIDs, bound
+candidates: they don't excuse what is joined to them by a mark. Spans of several classes that overlap are one, and what
+spans of known kinds cover is cut out of it.
 
 Positions are code points, ends exclusive. Defined cases: a null or empty text has no spans; rows are never
 compared, so null ids, ties and repeated rows need no rule.
@@ -49,21 +51,27 @@ class CharClass(NamedTuple):
 
 _HEX = "0123456789abcdef"
 _WORD = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-#: Candidates are runs bounded by other characters; a run that fits several classes belongs to the first.
+#: Candidates are runs bounded by characters out of the class. Every window of a class with a limit at or above that of
+#: a class before it needn't be scanned again where no character is new, hence ``_NEW``.
 CLASSES = (
     CharClass("hex", r"[0-9a-fA-F]{20,}", _HEX, 20, 3.0),
     CharClass("alnum", r"[0-9A-Za-z]{20,}", _WORD, 20, 3.7),
     CharClass("base64", r"[0-9A-Za-z+/=_-]{20,}", _WORD + "+/=_-", 20, 3.7),
 )
+_NEW = {"hex": "", "alnum": "[g-zG-Z]", "base64": "[+/=_-]"}
+_EXAMPLE = r"(?i:example|sample|dummy|placeholder|abcdefgh|01234567|xxxxxxxx)"
+_UUID = r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
 #: Strings that are no secrets: words, names joined by marks, numbers, one case of letters with marks, ordered
 #: alphabets, UUIDs and what says that it is an example.
 ALLOWED = (
     r"[A-Za-z+/=_-]+",
     r"[0-9+/=_-]+",
     r"(?:[A-Za-z]*[+/=_-])*[A-Za-z]*[0-9]{0,4}",
-    r".*(?i:example|sample|dummy|placeholder|abcdefgh|01234567|xxxxxxxx).*",
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    f".*{_EXAMPLE}.*",
+    _UUID,
 )
+#: Those whose parts are no secrets either: a candidate of such a kind isn't scanned.
+_CLOSED = ALLOWED[:3]
 
 
 def spans_of(text: Column, pattern: str, whole: Column, rank: int, kind: str, judged: Column | None = None,
@@ -146,28 +154,90 @@ def with_spans(rows: DataFrame, text_col: str = "text", allowed: tuple[str, ...]
                  _parts(F.col(f"__whole_{k.name}"), k) if k.group else None,
                  (lambda g, k=k: F.length(g) >= k.least) if k.least else None)
         for rank, k in enumerate(KINDS)))
-    runs = spans_of(text, candidates, F.col("__runs"), len(KINDS), "entropy",
-                    keep=lambda run: ~is_allowed(run, allowed))
+    runs = spans_of(text, candidates, F.col("__runs"), len(KINDS), "entropy")
+    closed = tuple(p for p in _CLOSED if p in allowed)
     rows = rows.withColumns({
-        "__base": base,
-        "__ranges": F.transform(runs, lambda s: F.struct(
-            s["start"].alias("start"), F.substring(text, s["start"] + 1, s["stop"] - s["start"]).alias("run")))})
-
-    def added(x: Column) -> Column:
-        found = F.when(x["run"].rlike(f"^{CLASSES[0].pattern}$"), entropy_range(x["run"], CLASSES[0]))
-        for cls in CLASSES[1:]:
-            found = found.when(x["run"].rlike(f"^{cls.pattern}$"), entropy_range(x["run"], cls))
+        "__base": F.array_sort(base),
+        "__parts": F.transform(runs, lambda s: F.struct(s["start"].alias("start"), bounded(
+            F.substring(text, s["start"] + 1, s["stop"] - s["start"]), allowed).alias("run")))})
+    rows = rows.withColumn("__parts", F.filter("__parts", lambda x: x["run"].rlike(candidates)))
+    rows = rows.withColumn("__ranges", F.concat(*(
+        F.flatten(F.transform("__parts", candidates_of(cls, closed))) for cls in CLASSES)))
+
+    def high(x: Column) -> Column:
+        """Where the windows at or above the limit lie in the text, for a candidate ``start, rank, run``."""
+        found = F.when(x["rank"] == 0, entropy_range(x["run"], CLASSES[0]))
+        for rank, cls in enumerate(CLASSES[1:], 1):
+            found = found.when(x["rank"] == rank, entropy_range(x["run"], cls))
         return F.struct(x["start"].alias("start"), found.alias("found"))
 
-    high = F.transform(F.filter(F.transform(F.col("__ranges"), added), lambda x: x["found"]["first"] >= 0),
-                       lambda x: F.struct((x["start"] + x["found"]["first"]).alias("start"),
-                                          F.lit(len(KINDS)).alias("rank"),
-                                          (x["start"] + x["found"]["last"]).alias("stop"),
-                                          F.lit("entropy").alias("kind")))
-    fresh = F.filter(high, lambda x: ~F.exists(
-        F.col("__base"), lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
+    rows = rows.withColumn("__found", F.filter(F.transform("__ranges", high), lambda x: x["found"]["first"] >= 0))
+    rows = rows.withColumn("__high", F.array_sort(F.transform("__found", lambda x: F.struct(
+        (x["start"] + x["found"]["first"]).alias("start"), (x["start"] + x["found"]["last"]).alias("stop")))))
+    fine = lambda s: ~is_allowed(F.substring(text, s["start"] + 1, s["stop"] - s["start"]), allowed)
+    rows = rows.withColumn("__high", merged(F.filter("__high", fine)))
+    rows = rows.withColumn("__high", F.filter(F.flatten(F.transform(
+        "__high", lambda s: without_spans(s, F.col("__base")))), fine))
+    fresh = F.transform("__high", lambda s: F.struct(
+        s["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), s["stop"].alias("stop"), F.lit("entropy").alias("kind")))
     rows = rows.withColumn(spans, F.array_sort(F.concat(F.col("__base"), fresh)))
-    return rows.drop("__base", "__ranges", "__runs", *(f"__whole_{k.name}" for k in KINDS))
+    return rows.drop("__base", "__parts", "__ranges", "__found", "__high", "__runs", *(f"__whole_{k.name}" for k in KINDS))
+
+
+def bounded(run: Column, allowed: tuple[str, ...]) -> Column:
+    """``run`` with blanks for UUIDs and for words that say they are examples, as far as ``allowed`` has these."""
+    if ALLOWED[4] in allowed:
+        run = F.regexp_replace(run, f"(?<![0-9A-Za-z]){_UUID}(?![0-9A-Za-z])", " " * 36)
+    if ALLOWED[3] in allowed:
+        words = F.transform(F.regexp_extract_all(run, F.lit("[0-9A-Za-z]+|[^0-9A-Za-z]"), F.lit(0)),
+                            lambda w: F.when(w.rlike(_EXAMPLE), F.repeat(F.lit(" "), F.length(w))).otherwise(w))
+        run = F.when(run.rlike(_EXAMPLE), F.array_join(words, "")).otherwise(run)
+    return run
+
+
+def candidates_of(cls: CharClass, closed: tuple[str, ...]):
+    """What makes ``start, rank, run`` of the candidates of a class from a part ``start, run`` of the text."""
+    def of(part: Column) -> Column:
+        whole = F.regexp_extract_all(part["run"], F.lit(cls.pattern), F.lit(0))
+        found = spans_of(part["run"], cls.pattern, whole, CLASSES.index(cls), cls.name,
+                         keep=lambda run: run.rlike(_NEW[cls.name]) & ~is_allowed(run, closed))
+        return F.transform(found, lambda s: F.struct(
+            (part["start"] + s["start"]).alias("start"), s["rank"].alias("rank"),
+            F.substring(part["run"], s["start"] + 1, s["stop"] - s["start"]).alias("run")))
+
+    return of
+
+
+_STRETCHES = "array<struct<start:int,stop:int>>"
+
+
+def _stretch(start: Column, stop: Column) -> Column:
+    return F.array(F.struct(start.alias("start"), stop.alias("stop")))
+
+
+def merged(stretches: Column) -> Column:
+    """Stretches in order of start, those that overlap made one."""
+    def step(acc: Column, s: Column) -> Column:
+        new = s["start"] >= acc["stop"]
+        done = F.when(new & (acc["start"] >= 0), F.concat(acc["done"], _stretch(acc["start"], acc["stop"]))).otherwise(acc["done"])
+        return F.struct(F.when(new, s["start"]).otherwise(acc["start"]).alias("start"),
+                        F.greatest(acc["stop"], s["stop"]).alias("stop"), done.alias("done"))
+
+    begin = F.struct(F.lit(-1).alias("start"), F.lit(-1).alias("stop"), F.array().cast(_STRETCHES).alias("done"))
+    return F.aggregate(stretches, begin, step, lambda acc: F.when(
+        acc["start"] >= 0, F.concat(acc["done"], _stretch(acc["start"], acc["stop"]))).otherwise(acc["done"]))
+
+
+def without_spans(stretch: Column, spans: Column) -> Column:
+    """The stretches that are left of one outside ``spans``, which are in order of start."""
+    def step(acc: Column, b: Column) -> Column:
+        left = F.when(b["start"] > acc["at"], F.concat(acc["left"], _stretch(acc["at"], b["start"]))).otherwise(acc["left"])
+        return F.struct(F.greatest(acc["at"], b["stop"]).alias("at"), left.alias("left"))
+
+    touching = F.filter(spans, lambda b: (b["start"] < stretch["stop"]) & (stretch["start"] < b["stop"]))
+    begin = F.struct(stretch["start"].alias("at"), F.array().cast(_STRETCHES).alias("left"))
+    return F.aggregate(touching, begin, step, lambda acc: F.when(
+        acc["at"] < stretch["stop"], F.concat(acc["left"], _stretch(acc["at"], stretch["stop"]))).otherwise(acc["left"]))
 
 
 def is_allowed(run: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:

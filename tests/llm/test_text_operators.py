@@ -130,6 +130,33 @@ def test_entropy_windows_and_allow_list(spark):
     assert df.filter(secrets.is_allowed(F.col("run"))).count() == len(allowed)
 
 
+def test_entropy_by_class_in_joined_runs(spark):
+    rng = random.Random(6)
+    base62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    upper = lambda n: "".join(rng.choices("0123456789ABCDEF", k=n))
+    joined, alone = {}, ["sig", "123e4567-e89b-12d3-a456-426614174000", "id-123e4567-e89b-12d3-a456-426614174000/x",
+                         "EXAMPLE8fQz2LmXw9RtY4kV", "the-name-of-a-long-path/of/words-2024", "12345678901234567890123"]
+    for i in range(40):
+        for before, secret in (("sig=", upper(40)), ("/v1/", upper(40)), ("key_", upper(40)[:24].lower()),
+                               ("sample-app/", "".join(rng.choices(base62, k=40))),
+                               ("123e4567-e89b-12d3-a456-426614174000/", "".join(rng.choices(base62, k=40)))):
+            joined[f"{before} {i}"] = (before, secret)
+    data = [(k, f"see {a}{b} here") for k, (a, b) in joined.items()] + [(a, f"see {a} here") for a in alone]
+    access, tail = "AKIA" + "QZ7WMX2KTR9V", "xq7Rk2mVw9LtZ4bNf8Hs3Gd6Yp"
+    data += [("cut", f"{access}{tail} end")]
+    spans = by_id(secrets.find_secrets(spark.createDataFrame(data, "doc_id string, text string")), "spans")
+    entropy = {k: [(s["start"], s["stop"]) for s in x[0] if s["kind"] == "entropy"] for k, x in spans.items()}
+    for before in {a for a, _ in joined.values()}:
+        # Found, and covered but for a few characters at the ends.
+        hits = [k for k, (a, b) in joined.items() if a == before
+                and any(e - max(s, 4 + len(a)) >= len(b) - 8 for s, e in entropy[k])]
+        assert len(hits) >= 36, (before, len(hits))
+    assert all(e - s <= len(a + b) and e <= 4 + len(a + b) for k, (a, b) in joined.items() for s, e in entropy[k])
+    assert [a for a in alone if spans[a][0]] == []
+    assert [(s["start"], s["stop"], s["kind"]) for s in spans["cut"][0]] == [
+        (0, len(access), "access"), (len(access), len(access + tail), "entropy")]
+
+
 def test_quality_counts(docs, none, rows):
     def brute(t):
         w, seen, dups = WORD.findall(t), set(), 0
