@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -146,3 +146,31 @@ def batch_of(schema: dict[str, pa.DataType], ids: pa.Array, columns: list) -> pa
     arrays = [ids] + [x if isinstance(x, pa.Array) else pa.array(x, type=t)
                       for x, t in zip(columns, schema.values(), strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *schema])
+
+
+def in_order(df: DataFrame, order: list[Column], purpose: str, value: str | None = None) -> DataFrame:
+    """``df``, written to the shared folder, with ``before``: how many rows come before it in ``order``, or what their
+    ``value``, whole numbers, add up to. ``order`` should tell rows apart, or rows that are equal in it share a task.
+
+    The rows are dealt out by ranges and sorted there. A row's place is its range's start, one number per
+    range that the driver adds up, and its place in the range.
+    """
+    spark, bits = df.sparkSession, 33  # of a row's place in its partition
+    own = df.columns
+    named = df.select("*", *(c.alias(f"__by_{i}") for i, c in enumerate(order)))
+    by = [F.col(f"__by_{i}") for i in range(len(order))]
+    placed = named.repartitionByRange(*by).sortWithinPartitions(*by).select(*own, F.monotonically_increasing_id().alias("__at"))
+    placed = as_table(placed, purpose).withColumn("__part", F.shiftright("__at", bits))
+    sizes = placed.groupBy("__part").agg(F.sum(value) if value else F.count(F.lit(1))).collect()
+    starts, at = [], 0
+    for part, size in sorted((r[0], r[1]) for r in sizes):
+        starts.append((part, at))
+        at += int(size or 0)
+    starts = spark.createDataFrame(starts, "__part bigint, __start bigint")
+    if value:
+        earlier = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+        inside = F.coalesce(F.sum(value).over(earlier), F.lit(0))
+    else:
+        inside = F.col("__at").bitwiseAND((1 << bits) - 1)
+    return (placed.withColumn("__inside", inside).join(starts, "__part")
+            .select(*own, (F.col("__start") + F.col("__inside")).cast("bigint").alias("before")))

@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import exact_copies, jaccard, language, lines, packing, pieces, quality, secrets, substrings, toxicity
+from fleetgauge.llm import (
+    exact_copies,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    substrings,
+    toxicity,
+)
 from fleetgauge.llm.common import documents, in_fold
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +75,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_language_id, op5_toxicity, op6_ngram_jaccard,
-    op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans)}
+    op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans, op11_source_mixing)}
