@@ -2,6 +2,38 @@
 
 _SPACE = "[\\x20\\x09-\\x0D]"
 
+
+def _clustering(dims: int = 64, clusters: int = 8, rounds: int = 10) -> str:
+    """Every round as two tables: the vectors' nearest centroids, and the floors of the means."""
+    parts = [f"""
+        WITH kept AS MATERIALIZED (
+                 SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS row, embedding FROM embeddings
+                 WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+             v AS MATERIALIZED (
+                 SELECT row, unnest(range(0, {dims})) AS d, floor(1024 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept),
+             starts AS (SELECT row, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept
+                        ORDER BY sha256('3:' || vec_id) LIMIT {clusters}),
+             c0 AS MATERIALIZED (SELECT c, d, x AS m FROM v JOIN starts ON v.row = starts.row)"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+             a{k} AS MATERIALIZED (
+                 SELECT row, c, distance FROM (SELECT row, c, sum((x - m) * (x - m))::BIGINT AS distance
+                                               FROM v JOIN c{k} ON v.d = c{k}.d GROUP BY row, c)
+                 QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, c) = 1)""")
+        if k < rounds:
+            parts.append(f"""
+             c{k + 1} AS MATERIALIZED (
+                 SELECT o.c, o.d, coalesce((s - ((s % n) + n) % n) // n, o.m) AS m FROM c{k} o
+                 LEFT JOIN (SELECT c, d, sum(x) AS s, count(*) AS n FROM v JOIN a{k} ON v.row = a{k}.row GROUP BY c, d) t
+                 ON o.c = t.c AND o.d = t.d)""")
+    last = f"a{rounds}"
+    return ",".join(parts) + f"""
+        SELECT vec_id, {last}.c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY {last}.c))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+        FROM {last} JOIN kept ON {last}.row = kept.row
+        JOIN (SELECT c, sha256(string_agg(m::BIGINT::VARCHAR, ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c) s ON {last}.c = s.c"""
+
+
 ORACLES = {
     "op7_exact_dedup": rf"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -57,4 +89,31 @@ ORACLES = {
              m AS (SELECT id, min(reached) AS component FROM c GROUP BY id)
         SELECT e.doc_id, e.n AS n_shingles, CASE WHEN e.n = 0 THEN e.doc_id ELSE m.component END AS component_id
         FROM e JOIN m ON e.rep = m.id""",
+    "op12_centroid_clustering": _clustering(),
+    "op13_phrase_collocations": r"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+                   FROM documents),
+             p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws
+                   FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+             n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+             g AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, range(1, 6) AS sizes(k)
+                   WHERE len(ws) >= k),
+             f AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k, count(*) AS f FROM g
+                   GROUP BY ALL HAVING count(*) >= 100),
+             c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+             i AS (SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(f) AS longer
+                   FROM (SELECT lang, ws, f, k, m, unnest(range(1, k - m + 2)) AS s FROM c, range(2, 5) AS lens(m) WHERE m < k)
+                   GROUP BY ALL),
+             d AS (SELECT c.* FROM c LEFT JOIN i ON c.lang = i.lang AND c.phrase = i.phrase
+                   WHERE i.longer IS NULL OR 100 * i.longer < 100 * c.f),
+             u AS (SELECT lang, phrase, f AS a, j, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS tail
+                   FROM (SELECT *, unnest(range(1, k)) AS j FROM d)),
+             q AS (SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, n.n, j,
+                          (1000::HUGEINT * u.a * n.n // (x.f::HUGEINT * y.f))::BIGINT AS score
+                   FROM u JOIN f x ON u.lang = x.lang AND u.head = x.phrase JOIN f y ON u.lang = y.lang AND u.tail = y.phrase
+                   JOIN n ON u.lang = n.lang),
+             b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+             o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000""",
 }

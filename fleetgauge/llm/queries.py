@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm import (
     centroids,
+    collocations,
     exact_copies,
     jaccard,
     language,
@@ -84,7 +85,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))[0]
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_substring_dedup, op3_quality_rules, op4_language_id, op5_toxicity, op6_ngram_jaccard,
     op7_exact_dedup, op8_line_dedup, op9_sentencepiece, op10_secret_scans, op11_source_mixing,
-    op12_centroid_clustering)}
+    op12_centroid_clustering, op13_phrase_collocations)}
