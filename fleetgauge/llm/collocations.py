@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import WordHashes, as_table, kept_in_worker, mixed, slices
 
-SUPPORT, LONGEST, TOP, SHARDS = 100, 5, 2000, 8
-#: Size of the bitmap of candidates, 16 MB.
-BITS = 1 << 27
+SUPPORT, LONGEST, TOP, SHARDS = 100, 5, 2000, 4
+#: Size of the bitmap of candidates, 8 MB.
+BITS = 1 << 26
 UNKNOWN = "und"
 #: Bytes of text that a task works on at once.
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: What ends a piece is made a full stop, which is then a word by itself and no other word.
 ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"..........")
 _BASE, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -83,13 +83,13 @@ def may_hold(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, str, list[bytes]]]:
     """The texts of a batch ``shard, lang, text`` by shard and language, about ``SLICE`` bytes at a time."""
-    texts = batch.column(2)
-    for begin, end in slices(pa.compute.binary_length(texts).to_pylist(), SLICE):
-        held: dict[tuple[int, str], list[bytes]] = {}
-        for shard, lang, text in zip(*(c.slice(begin, end - begin).to_pylist() for c in batch.columns), strict=True):
-            held.setdefault((shard, lang), []).append(text)
-        for (shard, lang), members in held.items():
-            yield shard, lang, members
+    members: dict[tuple[int, str], list[int]] = {}
+    for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+        members.setdefault(key, []).append(i)
+    sizes = pa.compute.binary_length(batch.column(2)).to_pylist()
+    for (shard, lang), rows in members.items():
+        for begin, end in slices([sizes[i] for i in rows], SLICE):
+            yield shard, lang, batch.column(2).take(pa.array(rows[begin:end])).to_pylist()
 
 
 def hashed_words(docs: DataFrame) -> DataFrame:
@@ -212,8 +212,10 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     context, bitmap = docs.sparkSession.sparkContext, np.zeros(bits // 64, dtype=np.uint64)
     sent = context.broadcast(bitmap)
     for size in range(1, longest + 1):
-        if not add_frequent(bitmap, shard_counts(words, size, sent)):
+        found = add_frequent(bitmap, shard_counts(words, size, sent))
+        if not found:
             break
+        sent.destroy()
         sent = context.broadcast(bitmap)
     return as_table(exact_counts(texts, longest, sent).filter(F.col("n") >= support), "phrase-counts"), in_all
 
