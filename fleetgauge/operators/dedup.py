@@ -30,6 +30,7 @@ def dedup_readings(
     order: str = "seq",
     delay: str = "600 seconds",
     at_once: bool = False,
+    clock: DataFrame | None = None,
 ) -> DataFrame:
     """The first arrival of each key; readings without a key are dropped.
 
@@ -38,10 +39,18 @@ def dedup_readings(
     then only the first arrival is kept, so the result is that of a table. With ``at_once`` a reading is given
     out when it arrives and its key is remembered for ``delay``; then the first one wins as long as a key's
     copies come through one input partition, as they do from a source keyed by truck.
+
+    ``clock`` is a stream of marker rows (see ``streaming.clock``) that have an ``event_time`` and nothing else: they
+    join the readings before the watermark, which they advance, and are never given out.
     """
     keyed = with_key(readings, keys)
     if readings.isStreaming:
-        keyed = keyed.where(F.col("event_time").isNotNull()).withWatermark("event_time", delay)
+        keyed = keyed.where(F.col("event_time").isNotNull())
+        if clock is not None:
+            if at_once:
+                raise ValueError("markers are for results that wait for the watermark")
+            keyed = keyed.unionByName(clock.select("event_time"), allowMissingColumns=True)
+        keyed = keyed.withWatermark("event_time", delay)
         if at_once:
             return keyed.dropDuplicatesWithinWatermark(list(keys))
         # The watermark column has to be in the key; it follows from the timestamp text.
@@ -54,6 +63,16 @@ def dedup_readings(
     # copy's will do, is carried as a result and not as a grouping column: filters on it, and with them a
     # second parse of the text, could otherwise be pushed below the aggregate.
     rest = [c for c in readings.columns if c not in (*groups, order)]
+    if readings.isStreaming and clock is not None:
+        # Markers have no keys and no arrival number. A filter on a grouping column would be pushed below the watermark,
+        # where the markers would advance nothing; given out as aggregates, keys can only be filtered here.
+        own = [F.col(k).alias(f"_{k}") for k in keys]
+        firsts = keyed.groupBy(*own, "event_time").agg(
+            *[F.min(k).alias(k) for k in keys],
+            F.min(order).alias(order),
+            *[F.min_by(c, order).alias(c) for c in rest],
+        ).where(F.col(order).isNotNull())
+        return firsts.select(*readings.columns)
     firsts = keyed.groupBy(*groups).agg(
         F.min(order).alias(order),
         *[(F.min(c) if c == "event_time" else F.min_by(c, order)).alias(c) for c in rest],

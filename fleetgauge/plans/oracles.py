@@ -284,10 +284,6 @@ SELECT {counted} AS counted, count(DISTINCT (truck_id, "timestamp")) AS distinct
        count(*) AS total_sent, '{warmed}' AS verdict FROM valid"""
 
 
-# The stream reads every reading once in its first batch, then closes what lies behind the newest event time
-# by the lateness of ten minutes.
-STREAM_CLOSED = "WHERE (w + size) * 1000000 <= (SELECT max(epoch_us(event_time)) FROM raw WHERE truck_id IS NOT NULL) - 600000000"
-
 ORACLES: dict[str, str] = {
     "read_telemetry": f"""{base(raw())}
 SELECT truck_id, temperature, "timestamp", fuel_level, latitude, longitude,
@@ -494,7 +490,7 @@ stats AS (
   FROM norm JOIN stats ON norm.truck_id = stats.truck_id AND epoch_us(event_time) // 2592000000000 = w
   WHERE n > 1
 )''')} SELECT * FROM scored WHERE abs(zscore) > 2.5""",
-    "stream_window_averages": f"{base(*NORMALIZED, windows(21600, 3600))}{wire(where=STREAM_CLOSED)}",
+    "stream_window_averages": f"{base(*NORMALIZED, windows(21600, 3600))}{wire()}",
     "stream_state": f"{base(raw('0'), FIRSTS, NORM, TOTALS)} SELECT * FROM totals",
     "stream_latest": f"""{base(raw('0').replace('raw AS', 'delivered AS'),
                               'raw AS (SELECT * FROM delivered WHERE event_time IS NOT NULL)',

@@ -504,11 +504,11 @@ def zscore_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_window_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the stream has closed, read from its sink."""
+    """All windows of a stream that is run to its end, read from its sink."""
     prepare_streaming(spark)
     work = shared_dir(spark, "stream-averages")
     readings = tables.readings_from(tables.events_stream(spark, sf_dir))
-    streams.start_averages(readings, f"{work}/averages", f"{work}/checkpoint", SIX_HOURS).awaitTermination()
+    streams.finish_averages(readings, f"{work}/averages", f"{work}/checkpoint", f"{work}/clock", SIX_HOURS)
     return _wire(read_averages(spark, f"{work}/averages"))
 
 

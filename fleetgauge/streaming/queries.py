@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +22,19 @@ from fleetgauge.operators.state import truck_totals
 from fleetgauge.operators.windows import window_averages
 from fleetgauge.sources.averages import stream_averages
 from fleetgauge.sources.changelog import stream_changelog
+from fleetgauge.streaming.clock import advance, clock_stream, closing_time, open_clock, watermark_of
 
 # State and snapshot have no lateness of their own; duplicates are remembered for this long.
 STATE_DELAY = "1 day"
 
 
-def averages_of(readings: DataFrame, config: WindowConfig = DEFAULT_WINDOWS) -> DataFrame:
+def averages_of(
+    readings: DataFrame, config: WindowConfig = DEFAULT_WINDOWS, clock: DataFrame | None = None
+) -> DataFrame:
     """Readings to window averages. On a stream each window is emitted once, when the watermark, ``expires``
-    seconds behind the newest event time, has passed its end."""
+    seconds behind the newest event time of readings and markers, has passed its end."""
     timed = with_event_time(readings)
-    first = dedup_readings(timed, delay=seconds(config.expires))
+    first = dedup_readings(timed, delay=seconds(config.expires), clock=clock)
     return window_averages(normalize(first), config)
 
 
@@ -61,8 +65,37 @@ def start_averages(
     config: WindowConfig = DEFAULT_WINDOWS,
     fmt: str = "parquet",
     every: str | None = None,
+    clock: DataFrame | None = None,
 ) -> StreamingQuery:
-    return run(stream_averages(averages_of(readings, config), location, checkpoint, fmt), every=every)
+    return run(stream_averages(averages_of(readings, config, clock), location, checkpoint, fmt), every=every)
+
+
+def finish_averages(
+    readings: DataFrame,
+    location: str,
+    checkpoint: str,
+    clock: str,
+    config: WindowConfig = DEFAULT_WINDOWS,
+    fmt: str = "parquet",
+    until: datetime | None = None,
+) -> None:
+    """Run over all readings that are there, then advance event time by a marker in the folder ``clock`` and run on from
+    the same checkpoint, so that the last windows come out too. Readings of closed windows that arrive later are late.
+
+    The marker's time follows from the watermark of the first run. A run that has read nothing, as after a failure
+    between the two, has none; then ``until`` says how far to advance. Calling this again is harmless.
+    """
+    spark = readings.sparkSession
+    open_clock(spark, clock)
+    markers = clock_stream(spark, clock)
+    query = start_averages(readings, location, checkpoint, config, fmt, clock=markers)
+    query.awaitTermination()
+    watermark = watermark_of(query)
+    if until is None and watermark is not None:
+        until = closing_time(watermark, config)
+    if until is not None:
+        advance(spark, clock, until)
+        start_averages(readings, location, checkpoint, config, fmt, clock=markers).awaitTermination()
 
 
 def start_state(

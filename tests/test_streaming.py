@@ -17,9 +17,11 @@ from fleetgauge.schemas import LOG_ROW, TELEMETRY_TOPIC
 from fleetgauge.sources.averages import read_averages
 from fleetgauge.sources.changelog import read_changelog
 from fleetgauge.sources.telemetry import read_telemetry
+from fleetgauge.streaming.clock import clock_stream, open_clock
 from fleetgauge.streaming.queries import (
     dropped_as_duplicate,
     dropped_as_late,
+    finish_averages,
     offsets_of,
     start_averages,
     start_snapshot,
@@ -145,6 +147,46 @@ def test_windows_that_are_no_whole_number_of_hops(spark, feed):
     assert feed.closed() == key_rows(averages.where("truck_id < 9"))
 
 
+def finished(feed, until=None):
+    root = feed.root
+    finish_averages(feed.stream(), f"{root}/out", f"{root}/checkpoint", f"{root}/clock", CONFIG, until=until)
+    return feed.closed()
+
+
+def test_markers_close_the_last_windows(feed):
+    feed.send((1, 30.0, at(1)), (1, 30.0, at(1)), (2, -5.0, at(2)), (1, 31.0, at(61)))
+    feed.send((1, 40.0, at(30)), (2, 41.0, at(130)), (None, 5.0, at(3)), (3, 9.0, "not-a-timestamp"))
+    everything = batch_rows(feed.table())
+    assert finished(feed) == everything and len(everything) > 10
+    # Nothing comes out twice or with a marker in it, however often the clock is set.
+    assert finished(feed) == everything
+    assert finished(feed, START + timedelta(days=1)) == everything
+    assert all(r[0] is not None for r in feed.closed())
+
+
+def test_readings_of_closed_windows_are_late_and_newer_ones_go_on(feed):
+    feed.send((1, 30.0, at(1)))
+    first = finished(feed)
+    feed.send((1, 99.0, at(2)), (1, 50.0, at(50_000)))
+    rest = [r for r in finished(feed) if r not in first]
+    table = feed.table().where("temperature <> 99.0")
+    assert sorted(first + rest) == batch_rows(table)
+
+
+def test_a_stream_without_readings_has_nothing_to_close(feed):
+    feed.send()
+    assert finished(feed) == []
+
+
+def test_a_marker_after_a_failure_between_the_runs(spark, feed):
+    feed.send((1, 30.0, at(1)))
+    open_clock(spark, f"{feed.root}/clock")
+    markers = clock_stream(spark, f"{feed.root}/clock")
+    start_averages(feed.stream(), f"{feed.root}/out", f"{feed.root}/checkpoint", CONFIG, clock=markers).awaitTermination()
+    assert feed.closed() != batch_rows(feed.table())
+    assert finished(feed, START + timedelta(seconds=1 + 2 * CONFIG.expires + CONFIG.size)) == batch_rows(feed.table())
+
+
 def states(feed):
     start_state(feed.stream(), f"{feed.root}/changes", f"{feed.root}/state").awaitTermination()
     live = materialize_changelog(read_changelog(feed.spark, f"{feed.root}/changes"))
