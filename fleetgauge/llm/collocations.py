@@ -26,14 +26,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import WordHashes, as_table, kept_in_worker, mixed, slices
+from fleetgauge.llm.common import WordHashes, as_table, mixed, slices
 
 SUPPORT, LONGEST, TOP, SHARDS = 100, 5, 2000, 4
 #: Size of the bitmap of candidates, 8 MB.
 BITS = 1 << 26
 UNKNOWN = "und"
 #: Bytes of text that a task works on at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: Small row groups, looked at after every row: a file of a few large rows can then be read in parts.
+SMALL_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: What ends a piece is made a full stop, which is then a word by itself and no other word.
 ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"..........")
 _BASE, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -46,9 +48,8 @@ def words_of(texts: list[bytes]) -> list[bytes]:
     return b".".join(texts).lower().translate(ENDS).replace(b".", b" . ").split()
 
 
-def hashes_of(words: list[bytes]) -> np.ndarray:
+def hashes_of(words: list[bytes], known: WordHashes) -> np.ndarray:
     """The words' hashes, 0 for the end of a piece."""
-    known = kept_in_worker(("collocation words",), WordHashes)
     found = known.of(words)
     found[found == np.uint64(xxhash.xxh64_intdigest(b"."))] = 0
     return found
@@ -95,14 +96,15 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, str, list[bytes]]]:
 def hashed_words(docs: DataFrame) -> DataFrame:
     """``shard, lang, n, hashes``: texts of one shard and language as hashes of words."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()  # goes with the task; the tasks to come need the memory
         for batch in batches:
             for shard, lang, texts in _groups(batch):
-                found = hashes_of(words_of(texts))
+                found = hashes_of(words_of(texts), known)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([lang]), pa.array([np.count_nonzero(found)], pa.int64()),
                      pa.array([found.astype("<u8").tobytes()], pa.binary())], names=["shard", "lang", "n", "hashes"])
 
-    return as_table(docs.mapInArrow(hashed, "shard int, lang string, n bigint, hashes binary"), "phrase-words")
+    return as_table(docs.mapInArrow(hashed, "shard int, lang string, n bigint, hashes binary"), "phrase-words", **SMALL_GROUPS)
 
 
 def shard_counts(words: DataFrame, size: int, candidates: Broadcast | None) -> DataFrame:
@@ -155,10 +157,11 @@ def add_frequent(bitmap: np.ndarray, counts: DataFrame) -> int:
 def exact_counts(docs: DataFrame, longest: int, candidates: Broadcast) -> DataFrame:
     """``lang, phrase, size, n``: all occurrences of the phrases of up to ``longest`` words that may be candidates."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         for batch in batches:
             for _, lang, texts in _groups(batch):
                 words = words_of(texts)
-                row = hashes_of(words)
+                row = hashes_of(words, known)
                 index: dict[bytes, int] = {}
                 ids = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words))
                 held = None

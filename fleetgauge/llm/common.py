@@ -49,10 +49,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
-def as_table(df: DataFrame, purpose: str) -> DataFrame:
+def as_table(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read back, so that a lost executor costs no recomputation."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
