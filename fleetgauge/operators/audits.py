@@ -1,4 +1,4 @@
-"""Audits: exactly-once counting, recovery, throughput, averages."""
+"""Audits: exactly-once counting, throughput, averages. That of recovery is in ``operators.recovery``."""
 
 from __future__ import annotations
 
@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 
 from fleetgauge.config import DEFAULT_WINDOWS, WindowConfig, seconds
 from fleetgauge.functions.numbers import average_of
-from fleetgauge.operators.state import (
-    changelog_of,
-    materialize_changelog,
-    reconcile_states,
-    running_state,
-    truck_totals,
-)
 from fleetgauge.operators.windows import HOPPING, TUMBLING, partial_sums
 from fleetgauge.functions.times import instant
 from fleetgauge.schemas import READING_KEY
@@ -49,20 +42,6 @@ def exactly_once_audit(
     return both.withColumn("verdict", verdict)
 
 
-def recovery_audit(normalized: DataFrame, order: str = "seq") -> DataFrame:
-    """Write the changelog of the running state, forget the state, rebuild it from the log and compare it
-    with the totals: one row with the number of log records, trucks, mismatches, and PASSED or FAILED."""
-    changelog = changelog_of(running_state(normalized, order=order), order)
-    compared = reconcile_states(truck_totals(normalized), materialize_changelog(changelog, order))
-    # Every reading writes one record, so the records are the counts summed over the trucks.
-    report = compared.agg(
-        F.coalesce(F.sum("expected_count"), F.lit(0).cast("bigint")).alias("changelog_records"),
-        F.count("*").alias("trucks"),
-        F.count_if(~F.col("matches")).alias("mismatches"),
-    )
-    return report.withColumn("verdict", F.when(F.col("mismatches") == 0, "PASSED").otherwise("FAILED"))
-
-
 def throughput_audit(
     events: DataFrame, at: str = "arrival", target: float = TARGET_EVENTS_PER_SECOND
 ) -> DataFrame:

@@ -91,9 +91,9 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def telemetry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_log(spark: SparkSession, sf_dir: str, warmer: float = 1.0) -> DataFrame:
     """The readings as log rows of JSON messages in twenty partitions."""
-    readings = raw_readings(spark, sf_dir)
+    readings = readings_from(events(spark, sf_dir), warmer=warmer)
     partition = F.coalesce(F.pmod("truck_id", F.lit(TOPIC_PARTITIONS)), F.lit(0)).cast("int")
     return readings.select(
         F.col("truck_id").cast("string").alias("key"),

@@ -284,6 +284,9 @@ SELECT {counted} AS counted, count(DISTINCT (truck_id, "timestamp")) AS distinct
        count(*) AS total_sent, '{warmed}' AS verdict FROM valid"""
 
 
+HALF_WAY = """
+ends AS (SELECT (user_id + 1) % 20 AS part, max(event_id) // 2 AS until FROM events GROUP BY ALL)"""
+
 ORACLES: dict[str, str] = {
     "read_telemetry": f"""{base(raw())}
 SELECT truck_id, temperature, "timestamp", fuel_level, latitude, longitude,
@@ -298,6 +301,12 @@ SELECT 'truck:' || truck_id AS key,
        '{{"sum":' || CAST(s / 100.0 AS VARCHAR) || ',"count":' || n || '}}' AS value, seq FROM running""",
     "read_changelog_log": f"""{base(*NORMALIZED, RUNNING)}
 SELECT 'truck:' || truck_id AS key, s / 100.0 AS "sum", n AS "count", seq FROM running""",
+    "read_log_from_offsets": f"""{base(raw(), HALF_WAY)}
+SELECT truck_id, temperature, "timestamp", coalesce(truck_id % 20, 0) * 281474976710656 + seq AS seq
+FROM raw LEFT JOIN ends ON part = coalesce(truck_id % 20, 0) WHERE seq > coalesce(until, -1)""",
+    "read_log_from_time": f"""{base(raw())}
+SELECT truck_id, temperature, "timestamp", coalesce(truck_id % 20, 0) * 281474976710656 + seq AS seq FROM raw
+WHERE epoch_us(arrival) >= (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events)""",
     "fleet_csv": f"""{DATASET}
 SELECT * EXCLUDE (event_time), {iso('event_time')} AS event_time FROM dataset""",
     "schema_versions": f"""{base(raw())}
@@ -392,6 +401,10 @@ ends AS (SELECT (user_id + 1) % 20 AS part, max(event_id) // 2 AS until FROM eve
 running AS (
   SELECT a.* FROM all_running a JOIN ends ON part = a.truck_id % 20 WHERE part % 5 <> 0 AND seq <= until
 )""", LIVE)} SELECT * FROM live""",
+    "merged_changelog": f"{base(*NORMALIZED, RUNNING, LIVE)} SELECT * FROM live",
+    "state_from_snapshots": f"""{base(*NORMALIZED, RUNNING.replace('running AS', 'all_running AS'), HALF_WAY, """
+running AS (SELECT a.* FROM all_running a JOIN ends ON part = a.truck_id % 20 WHERE seq <= until)""", LIVE)}
+SELECT * FROM live""",
     "reconciled_states": f"""{base(*NORMALIZED, RUNNING, LIVE, TOTALS)}
 SELECT t.truck_id, t."sum" AS expected_sum, t."count" AS expected_count,
        coalesce(l."sum", 0.0) AS recovered_sum, coalesce(l."count", 0) AS recovered_count,
@@ -468,9 +481,16 @@ SELECT count(*) AS rows, count(DISTINCT truck_id) AS unique_trucks,
 FROM dataset""",
     "exactly_once_audit": once("PASSED", 'count(DISTINCT (truck_id, "timestamp"))'),
     "exactly_once_audit_without_dedup": once("FAILED", "count(*)"),
-    "recovery_audit": f"""{base(*NORMALIZED)}
-SELECT count(*) AS changelog_records, count(DISTINCT truck_id) AS trucks, CAST(0 AS BIGINT) AS mismatches,
-       'PASSED' AS verdict FROM norm""",
+    "recovery_audit": f"""{base(*NORMALIZED, RUNNING, TOTALS)}, lasting AS (
+  SELECT truck_id, s / 100.0 AS "sum", n AS "count" FROM running
+  QUALIFY row_number() OVER (PARTITION BY truck_id ORDER BY seq DESC) = 1
+), compared AS (
+  SELECT t.truck_id, l."sum" IS NOT DISTINCT FROM t."sum" AND l."count" IS NOT DISTINCT FROM t."count" AS same
+  FROM totals t LEFT JOIN lasting l ON l.truck_id = t.truck_id
+)
+SELECT (SELECT count(*) FROM running) AS changelog_records, count(*) AS trucks,
+       count(*) FILTER (WHERE NOT same) AS mismatches,
+       CASE WHEN count(*) FILTER (WHERE NOT same) = 0 THEN 'PASSED' ELSE 'FAILED' END AS verdict FROM compared""",
     "throughput_audit": f"""{base(raw())}
 SELECT count(*) AS events, (epoch_us(max(arrival)) - epoch_us(min(arrival))) / 1000000.0 AS elapsed_seconds,
        round(count(*) / ((epoch_us(max(arrival)) - epoch_us(min(arrival))) / 1000000.0), 4) AS events_per_second,
@@ -492,6 +512,7 @@ stats AS (
 )''')} SELECT * FROM scored WHERE abs(zscore) > 2.5""",
     "stream_window_averages": f"{base(*NORMALIZED, windows(21600, 3600))}{wire()}",
     "stream_state": f"{base(raw('0'), FIRSTS, NORM, TOTALS)} SELECT * FROM totals",
+    "stream_state_resumed": f"{base(raw('0'), FIRSTS, NORM, TOTALS)} SELECT * FROM totals",
     "stream_latest": f"""{base(raw('0').replace('raw AS', 'delivered AS'),
                               'raw AS (SELECT * FROM delivered WHERE event_time IS NOT NULL)',
                               FIRSTS, ACCEPTED, LATEST)} SELECT *, 'active' AS status FROM latest""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from fleetgauge.config import DEMO_WINDOWS, WindowConfig
 from fleetgauge.functions.numbers import average_of, from_centi
 from fleetgauge.functions.payloads import decode, state_key, truck_of_key
 from fleetgauge.functions.times import iso_utc
-from fleetgauge.operators import audits, fleet, quality, rates, state, validation, zscore
+from fleetgauge.operators import audits, fleet, quality, rates, recovery, state, validation, zscore
 from fleetgauge.operators.alerts import current_alerts, sustained_alerts
 from fleetgauge.operators.dedup import accepted_readings, dedup_readings, split_stages
 from fleetgauge.operators.normalize import normalize, rejected_readings as rejected, temperature_filter, with_event_time
+from fleetgauge.operators.snapshots import StateHistory
+from fleetgauge.operators.state_table import StateTable
 from fleetgauge.operators.windows import (
     expected_average,
     hopping_average,
@@ -24,14 +28,18 @@ from fleetgauge.operators.windows import (
     window_bounds_iso,
 )
 from fleetgauge.plans import fleet_tables as tables
-from fleetgauge.schemas import TELEMETRY, TELEMETRY_V1, TOPIC_PARTITIONS
+from fleetgauge.schemas import CHANGELOG_TOPIC, LOG_ROW, TELEMETRY, TELEMETRY_V1, TOPIC_PARTITIONS
 from fleetgauge.session import prepare_streaming, shared_dir
-from fleetgauge.sources.averages import decode_averages, encode_averages, read_averages
+from fleetgauge.sources.averages import read_averages
+from fleetgauge.sources.averages import write_averages as save_averages
 from fleetgauge.sources.changelog import decode_changelog, encode_changelog, read_changelog
+from fleetgauge.sources.changelog import write_changelog as save_changelog
 from fleetgauge.sources.fleet_csv import fleet_event_time, read_fleet_csv, write_fleet_csv
 from fleetgauge.sources.logs import partition_of, spread_for_write
+from fleetgauge.sources.segments import SegmentLog
 from fleetgauge.sources.telemetry import decode_readings, encode_readings, unite_versions
 from fleetgauge.streaming import queries as streams
+from fleetgauge.streaming.resume import start_logged_state
 
 DAILY = WindowConfig(size=86_400, step=21_600, expires=600)
 SIX_HOURS = WindowConfig(size=21_600, step=3_600, expires=600)
@@ -55,6 +63,37 @@ def _wire(averages: DataFrame) -> DataFrame:
     return window_bounds_iso(averages.drop("computed_at", "seq"))
 
 
+def _stored_changelog(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the changelog of the running state."""
+    location = shared_dir(spark, "changelog")
+    save_changelog(state.changelog_of(state.running_state(tables.normalized_readings(spark, sf_dir))), location)
+    return location
+
+
+def _in_batches(rows: DataFrame, purpose: str, after=None) -> SegmentLog:
+    """Log rows as a log of four batches or five, cut by offset; ``after(log, batch)`` follows each."""
+    spark, work = rows.sparkSession, shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(f"{work}/staging")
+    staged = spark.read.schema(rows.schema).parquet(f"{work}/staging")
+    log = SegmentLog(spark, f"{work}/log", LOG_ROW)
+    log.append_bounded(staged, max(-(-staged.count() // 3), 1), after=after and (lambda batch: after(log, batch)))
+    return log
+
+
+def _telemetry_segments(spark: SparkSession, sf_dir: str) -> SegmentLog:
+    return _in_batches(tables.telemetry_log(spark, sf_dir), "telemetry-log")
+
+
+def _half_way(spark: SparkSession, sf_dir: str) -> dict[int, int]:
+    """Half of the event numbers of each partition: one row per partition."""
+    found = (
+        tables.events(spark, sf_dir)
+        .groupBy(F.pmod(F.col("user_id") + 1, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"))
+        .agg(F.call_function("div", F.max("event_id"), F.lit(2)).alias("offset"))
+    )
+    return {r.partition: r.offset for r in found.collect()}
+
+
 # Sources, sinks and codecs
 
 
@@ -65,28 +104,54 @@ def read_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def write_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages as they lie in storage."""
     averages = tables.closed_windows(window_averages(tables.normalized_readings(spark, sf_dir), SIX_HOURS))
-    return encode_averages(averages)
+    location = shared_dir(spark, "averages")
+    save_averages(averages, location)
+    return spark.read.parquet(location).select("key", "value")
 
 
 @query
 def read_averages_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages written and read back."""
     averages = tables.closed_windows(window_averages(tables.normalized_readings(spark, sf_dir), DAILY))
-    return _iso(decode_averages(encode_averages(averages)), "window_start", "window_end", "computed_at")
+    location = shared_dir(spark, "averages")
+    save_averages(averages, location)
+    return _iso(read_averages(spark, location), "window_start", "window_end", "computed_at")
 
 
 @query
 def write_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = state.running_state(tables.normalized_readings(spark, sf_dir))
-    return encode_changelog(state.changelog_of(states))
+    """The changelog as it lies in storage."""
+    return spark.read.parquet(_stored_changelog(spark, sf_dir)).select("key", "value", "seq")
 
 
 @query
 def read_changelog_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = decode_changelog(write_changelog(spark, sf_dir))
+    """The changelog written and read back."""
+    rows = read_changelog(spark, _stored_changelog(spark, sf_dir))
     return rows.select("key", "value.sum", "value.count", "seq")
 
 
+@query
+def read_log_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings behind half of the event numbers of each partition, from a log in batches whose index says which files
+    hold them."""
+    log = _telemetry_segments(spark, sf_dir)
+    rows = decode_readings(log.read(after=_half_way(spark, sf_dir)))
+    return rows.select("truck_id", "temperature", "timestamp", "seq")
+
+
+@query
+def read_log_from_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of the same log that arrived in the second half of the events' time."""
+    log = _telemetry_segments(spark, sf_dir)
+    micros = F.unix_micros("ts")
+    middle = tables.events(spark, sf_dir).agg(F.call_function("div", F.min(micros) + F.max(micros), F.lit(2))).first()[0]
+    rows = decode_readings(log.read(since=datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=middle)))
+    return rows.select("truck_id", "temperature", "timestamp", "seq")
+
+
 @query
 def fleet_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as CSV with a header and read back."""
@@ -299,19 +364,52 @@ def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.state_as_of(_changelog_with_deletions(spark, sf_dir), middle.scalar())
 
 
-def _changelog_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log with deletions as it lies in twenty partitions, read back by its decoder."""
+def _changelog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with deletions as it lies in twenty partitions."""
     log = encode_changelog(_changelog_with_deletions(spark, sf_dir))
     arrivals = tables.raw_readings(spark, sf_dir).select("seq", F.col("arrival").alias("timestamp"))
     truck = truck_of_key("key")
-    rows = log.join(arrivals, "seq").select(
+    return log.join(arrivals, "seq").select(
         "key",
         "value",
+        F.lit(CHANGELOG_TOPIC).alias("topic"),
         F.pmod(truck, F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
         "timestamp",
     )
-    return decode_changelog(rows)
+
+
+def _changelog_in_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log read back by its decoder."""
+    return decode_changelog(_changelog_rows(spark, sf_dir))
+
+
+@query
+def merged_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live state from a table into which the log's batches were merged one after the other."""
+    table = StateTable(spark, shared_dir(spark, "state-table"), buckets=16)
+
+    def merge(log: SegmentLog, batch: int) -> None:
+        new = log.read_batch(batch)
+        table.apply(decode_changelog(new), batch)
+        table.merge(least=2)
+
+    _in_batches(_changelog_rows(spark, sf_dir), "merged-changelog", merge)
+    return table.live()
+
+
+@query
+def state_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State after half of the event numbers of each partition, from the nearest snapshot and the log behind it."""
+    history = None
+
+    def snapshot(log: SegmentLog, batch: int) -> None:
+        nonlocal history
+        history = history or StateHistory(log, f"{log.location}-snapshots")
+        history.take()
+
+    log = _in_batches(_changelog_rows(spark, sf_dir), "snapshots", snapshot)
+    return (history or StateHistory(log, f"{log.location}-snapshots")).state_at(_half_way(spark, sf_dir))
 
 
 @query
@@ -478,7 +576,7 @@ def exactly_once_audit_without_dedup(spark: SparkSession, sf_dir: str) -> DataFr
 
 @query
 def recovery_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.recovery_audit(tables.normalized_readings(spark, sf_dir))
+    return recovery.recovery_audit(tables.normalized_readings(spark, sf_dir), shared_dir(spark, "recovery"))
 
 
 @query
@@ -536,3 +634,19 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = spark.read.parquet(f"{work}/latest")
     values = [c for c in published.columns if c not in ("truck_id", "batch")]
     return published.groupBy("truck_id").agg(*[F.max_by(c, "batch").alias(c) for c in values])
+
+
+@query
+def stream_state_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of a stream that has lost its checkpoint half-way and has gone on from its changelog."""
+    prepare_streaming(spark)
+    work = shared_dir(spark, "stream-resumed")
+    changelog = SegmentLog(spark, f"{work}/changelog", LOG_ROW)
+
+    def first_run(log: SegmentLog, batch: int) -> None:
+        if batch == 1:
+            start_logged_state(log, changelog, f"{work}/lost").awaitTermination()
+
+    readings = _in_batches(tables.telemetry_log(spark, sf_dir, warmer=0.0), "stream-resumed-log", first_run)
+    start_logged_state(readings, changelog, f"{work}/checkpoint").awaitTermination()
+    return state.materialize_changelog(decode_changelog(changelog.read()))

@@ -62,3 +62,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     which a session always has, where that is unset, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/fleetgauge/{purpose}-{uuid.uuid4().hex}"
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to where nothing is yet, in one step where the file system can. False if ``target`` is there:
+    it stays, and ``source`` goes."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    files = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(new):
+        files.delete(old, True)
+        return False
+    if not files.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+    return True

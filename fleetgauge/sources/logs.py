@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetgauge.schemas import LOG_ROW, TOPIC_PARTITIONS
+from fleetgauge.sources.segments import SegmentLog, start_positions
 
 KAFKA = "kafka"
+SEGMENTS = "segments"
 EARLIEST = "earliest"
 LATEST = "latest"
 
@@ -23,14 +25,24 @@ def read_log(
     topic: str | None = None,
     streaming: bool = False,
     start: str = EARLIEST,
+    keep_start: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Rows ``key, value, topic, partition, offset, timestamp`` with text keys and values.
 
     ``location`` is the broker list for Kafka and a folder otherwise. A bounded read covers the whole log
     from ``start``; a stream goes on from its checkpoint and uses ``start`` only the first time. Kafka needs
-    the connector on the class path.
+    the connector on the class path. ``segments`` is a ``SegmentLog``, which can be read from any offset or time (see
+    ``start_positions``); its streams need ``keep_start``, a folder beside the checkpoint, unless they start at the
+    earliest. Plain files know no start but that.
     """
+    if fmt == SEGMENTS:
+        if streaming and start != EARLIEST and not keep_start:
+            raise ValueError("a stream that does not start at the earliest offset needs keep_start")
+        log = SegmentLog(spark, location, LOG_ROW)
+        after = start_positions(log, start, keep_start)
+        rows = log.stream(after, **options) if streaming else log.read(after)
+        return rows.where(F.col("topic") == topic) if topic else rows
     reader = spark.readStream if streaming else spark.read
     if fmt == KAFKA:
         if topic is None:
@@ -60,6 +72,18 @@ def arrival_number() -> Column:
     return F.shiftleft(F.col("partition").cast("bigint"), _OFFSET_BITS) + F.col("offset")
 
 
+def partition_number_of(seq: Column | str) -> Column:
+    """The partition in an arrival number."""
+    seq = F.col(seq) if isinstance(seq, str) else seq
+    return F.shiftright(seq, _OFFSET_BITS).cast("int")
+
+
+def offset_of(seq: Column | str) -> Column:
+    """The offset in an arrival number."""
+    seq = F.col(seq) if isinstance(seq, str) else seq
+    return seq.bitwiseAND((1 << _OFFSET_BITS) - 1)
+
+
 def partition_of(key: Column | str, partitions: int = TOPIC_PARTITIONS) -> Column:
     """Partition number of a key: the same key always has the same one."""
     key = F.col(key) if isinstance(key, str) else key

@@ -82,6 +82,9 @@ def finish_averages(
     """Run over all readings that are there, then advance event time by a marker in the folder ``clock`` and run on from
     the same checkpoint, so that the last windows come out too. Readings of closed windows that arrive later are late.
 
+    A query that is to be finished some day has to read the markers from its first run on (``start_averages(clock=...)``),
+    as a checkpoint knows the sources that its query began with.
+
     The marker's time follows from the watermark of the first run. A run that has read nothing, as after a failure
     between the two, has none; then ``until`` says how far to advance. Calling this again is harmless.
     """

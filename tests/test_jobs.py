@@ -3,11 +3,15 @@ from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from fleetgauge.config import DEFAULT_WINDOWS, DEMO_WINDOWS, WindowConfig
 from fleetgauge.jobs import run
 from fleetgauge.schemas import LOG_ROW, TELEMETRY_TOPIC
 from fleetgauge.session import shared_dir
+from fleetgauge.sources.averages import read_averages
+from fleetgauge.sources.segments import SegmentLog
+from fleetgauge.sources.telemetry import read_telemetry
 
 START = datetime(2026, 1, 1, tzinfo=timezone.utc)
 
@@ -48,6 +52,30 @@ def test_exactly_once_from_log_to_verdict(spark, log, tmp_path, capsys):
     assert run(spark, ["exactly-once", log, work[0]]) == 2
 
 
+def test_start_positions_of_a_log_in_batches(spark, log, tmp_path):
+    rows = spark.read.schema(LOG_ROW).parquet(log).withColumn("timestamp", F.lit(START) + F.col("offset") * F.expr("INTERVAL 1 SECOND"))
+    segments = SegmentLog(spark, f"{tmp_path}/segments", LOG_ROW)
+    segments.append(rows.where("offset < 20"))
+
+    def read(start, **how):
+        found = read_telemetry(spark, segments.location, "segments", start=start, **how)
+        return sorted(r.seq for r in found.collect())
+
+    assert read("earliest") == list(range(20)) and read("latest") == []
+    assert read('{"0": 17}') == [17, 18, 19]
+    assert read((START + timedelta(seconds=5)).isoformat()) == list(range(5, 20))
+    # A stream keeps where it started, and goes on from there when the log has grown.
+    with pytest.raises(ValueError):
+        read_telemetry(spark, segments.location, "segments", streaming=True, start="latest")
+    short = {"WINDOW_SIZE_SECONDS": "10", "HOPPING_STEP_SECONDS": "10", "WINDOW_EXPIRES_SECONDS": "12"}
+    job = ["averages", segments.location, f"{tmp_path}/out", f"{tmp_path}/cp", "--format", "segments", "--start", "latest"]
+    assert run(spark, job, short) == 0
+    segments.append(rows.where("offset >= 20"))
+    assert run(spark, [*job, "--finish"], short) == 0
+    counted = read_averages(spark, f"{tmp_path}/out").where("window_type = 'tumbling'").agg({"reading_count": "sum"}).first()[0]
+    assert counted == read_telemetry(spark, segments.location, "segments", start='{"0": 20}').select("truck_id", "timestamp").distinct().count()
+
+
 def test_recovery_and_totals(spark, log, capsys):
     assert run(spark, ["recovery", log]) == 0
     assert json.loads(capsys.readouterr().out)["changelog_records"] == 21

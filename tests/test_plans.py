@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetgauge.operators.alerts import sustained_alerts
-from fleetgauge.operators.audits import recovery_audit
+from fleetgauge.operators.recovery import recovery_audit
 from fleetgauge.operators.dedup import accepted_readings
 from fleetgauge.operators.fleet import fleet_latest
 from fleetgauge.operators.rates import counter_rate
@@ -76,9 +76,9 @@ def test_series_are_cut_into_spans(spark, name):
     assert any("_span" in k for k in exchange_keys(plan))
 
 
-def test_no_plan_joins_without_a_key(spark):
+def test_no_plan_joins_without_a_key(spark, tmp_path):
     for df in (
-        recovery_audit(fleet_tables.normalized_readings(spark, SF_DIR)),
+        recovery_audit(fleet_tables.normalized_readings(spark, SF_DIR), f"{tmp_path}/recovery"),
         running_state(fleet_tables.normalized_readings(spark, SF_DIR)).agg(F.count("*")),
     ):
         plan = executed(df)

@@ -4,7 +4,7 @@ from datetime import datetime, timezone
 import pytest
 
 from fleetgauge.functions.payloads import state_key, truck_of_key
-from fleetgauge.operators.audits import recovery_audit
+from fleetgauge.operators.recovery import recovery_audit
 from fleetgauge.operators.normalize import normalize
 from fleetgauge.operators.state import (
     changelog_of,
@@ -103,11 +103,11 @@ def test_reconciliation(spark, rows):
     assert rows(both.where("NOT matches"), "truck_id", order="truck_id") == [(2,), (4,)]
 
 
-def test_recovery_audit(readings):
+def test_recovery_audit(readings, tmp_path):
     batch = [
         (truck, 30.0 + truck + i * 0.1, T.format(i)) for i in range(20) for truck in range(1, 6)
     ]
-    row = recovery_audit(normalize(readings(*batch))).first()
+    row = recovery_audit(normalize(readings(*batch)), f"{tmp_path}/recovery").first()
     assert (row.changelog_records, row.trucks, row.mismatches, row.verdict) == (100, 5, 0, "PASSED")
 
 
