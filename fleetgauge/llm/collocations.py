@@ -6,7 +6,7 @@ support lowered by that part. What is frequent in any shard is a candidate, and
 texts over all documents, wherever they occur.
 
 A shard is as large as the table makes it and is mined by Spark, not in one task: words become 64-bit hashes in a table,
-and level by level the phrases of one more word are counted per shard, those alone whose two parts one word shorter
+and level by level the phrases of one more word are counted in each shard, those alone whose two parts one word shorter
 were candidates. Which those are is asked of a bitmap of fixed size (``bits``), which every task gets; where it is too full
 it rules out less, and nothing that counts is ever ruled out. So hashes and bitmap only choose what is counted exactly.
 
@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import WordHashes, as_table, mixed, slices
+from fleetgauge.llm.common import WordHashes, as_table, mixed, shuffles_removed, slices
 
 SUPPORT, LONGEST, TOP, SHARDS = 100, 5, 2000, 4
 #: Size of the bitmap of candidates, 8 MB.
@@ -88,7 +88,7 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[int, str, list[bytes]]]:
     for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
         members.setdefault(key, []).append(i)
     sizes = pa.compute.binary_length(batch.column(2)).to_pylist()
-    for (shard, lang), rows in members.items():
+    for (shard, lang), rows in sorted(members.items()):
         for begin, end in slices([sizes[i] for i in rows], SLICE):
             yield shard, lang, batch.column(2).take(pa.array(rows[begin:end])).to_pylist()
 
@@ -107,7 +107,7 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return as_table(docs.mapInArrow(hashed, "shard int, lang string, n bigint, hashes binary"), "phrase-words", **SMALL_GROUPS)
 
 
-def shard_counts(words: DataFrame, size: int, candidates: Broadcast | None) -> DataFrame:
+def shard_counts(words: DataFrame, size: int, candidates: Broadcast) -> DataFrame:
     """``key, least, n``: how often phrases of ``size`` words occur in a shard, those whose parts may be candidates. The key
     is the phrase's hash with the shard in its free bits."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,12 +215,16 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     context, bitmap = docs.sparkSession.sparkContext, np.zeros(bits // 64, dtype=np.uint64)
     sent = context.broadcast(bitmap)
     for size in range(1, longest + 1):
-        found = add_frequent(bitmap, shard_counts(words, size, sent))
+        found = 0
+        for shard in range(shards):  # one after the other, so that one shard's counts at a time take disk
+            with shuffles_removed(docs.sparkSession):
+                found += add_frequent(bitmap, shard_counts(words.filter(F.col("shard") == shard), size, sent))
         if not found:
             break
         sent.destroy()
         sent = context.broadcast(bitmap)
-    return as_table(exact_counts(texts, longest, sent).filter(F.col("n") >= support), "phrase-counts"), in_all
+    with shuffles_removed(docs.sparkSession):
+        return as_table(exact_counts(texts, longest, sent).filter(F.col("n") >= support), "phrase-counts"), in_all
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,

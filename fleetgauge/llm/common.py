@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,19 @@ def as_table(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is built and run in here leaves no shuffle files behind once it has run. For results that are collected or
+    written, not for plans that run later."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: Rows of at most so many ids, or ids with small arrays, are sent to all tasks (a few tens of MB at the most).
 SENT_ROWS = 1_000_000
 
