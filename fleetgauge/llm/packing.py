@@ -1,11 +1,12 @@
 """Packing of tokenised documents into sequences of a fixed length, best two fit.
 
-A document is cut into pieces only where it is longer than a sequence. Pieces are dealt by a hash into shards of
-about ``SHARD_PIECES`` and packed there, so that no task ever holds more and the work is spread; a shard wastes part
-of one sequence.
+A document is cut into pieces only where it is longer than a sequence. Pieces are dealt by a hash of their place in a
+table into shards of about ``SHARD_PIECES`` and packed there, so that no task holds many more, however many rows
+are alike, and the work is spread; a shard wastes part of one sequence.
 
 Defined cases: a null text is empty and has the end token alone; a row without an id is packed like any other; rows
-that repeat an id are packed once each; an empty table gives no piece.
+that repeat an id are packed once each; a long text is many pieces, dealt each for itself; of pieces of one length, any
+may come first; an empty table gives no piece. Columns but the two named aren't read.
 """
 
 from __future__ import annotations
@@ -60,7 +61,10 @@ class WordIds:
     def words(text: bytes) -> list[bytes]:
         """Words, without the marks behind them, from which the tokenizer also parts letters and digits. It lower-cases
         after composing letters and accents, so that ASCII letters may be lower-cased before where no accent stands
-        by itself (U+0300 to U+036F)."""
+        by itself (U+0300 to U+036F). Special tokens are looked for before that and in small letters alone, so that a text
+        in which one might be written some other way is left as it is."""
+        if b"<|" in text:
+            return text.split()
         if b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()
         return MARK.sub(rb" \g<0>", text).split()
@@ -184,7 +188,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     pieces = as_table(pieces, "pieces")
     shards = -(-pieces.count() // shard_pieces) or 1
     schema = StructType(pieces.schema.fields).add("sequence_id", LongType()).add("offset", LongType())
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # By the place in the table, which no two rows share: rows that repeat are dealt out like others.
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
 
     def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop(columns="shard")
