@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.functions.numbers import floor_div
+from fleetgauge.operators.series import runs
 
 
 @dataclass(frozen=True)
@@ -115,6 +116,19 @@ def sustained_alerts(
     return joined.select("alert", "severity", "metric", "ts", "value", "active_since", state.alias("state"))
 
 
+def sustained_alerts_by_blocks(samples: DataFrame, rules: Iterable[AlertRule] = FLEET_RULES) -> DataFrame:
+    """What ``sustained_alerts`` gives, for series with any number of samples in any stretch of time: they are cut into
+    blocks of about equally many rows, and what a block says of the run that leaves it is one row."""
+    table = _rule_table(samples.sparkSession, tuple(rules))
+    judged = samples.join(table, "metric").withColumn("_active", _holds())
+    followed = runs(judged.select("alert", "ts", "value", "_active"), ("alert",), "ts", "_active")
+    since = F.col("since")
+    joined = followed.join(table, "alert")
+    held = F.unix_micros("ts") - F.unix_micros(since) >= F.col("hold").cast("bigint") * 1_000_000
+    state = F.when(since.isNull(), "inactive").when(held, "firing").otherwise("pending")
+    return joined.select("alert", "severity", "metric", "ts", "value", since.alias("active_since"), state.alias("state"))
+
+
 def current_alerts(states: DataFrame) -> DataFrame:
     """The state of each rule at the latest sample."""
     return states.groupBy("alert", "metric", "severity").agg(

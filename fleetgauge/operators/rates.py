@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetgauge.config import seconds
 from fleetgauge.functions.numbers import floor_div
 from fleetgauge.operators.dedup import with_key, dedup_readings
+from fleetgauge.operators.series import trailing_sums, with_previous
 from fleetgauge.schemas import READING_KEY
 
 RATE_WINDOW = 5
@@ -155,3 +156,25 @@ def counter_rate(
     return trailing.where(span_at(F.col("_at")) == F.col("_span")).select(
         *series, "ts", "value", (F.col("_sum") / F.lit(float(window))).alias("rate")
     )
+
+
+# Increases of a counter, to twelve decimals.
+_INCREASE = "decimal(38,12)"
+
+
+def counter_rate_by_blocks(samples: DataFrame, window: int = 60, series: tuple[str, ...] = ("metric",)) -> DataFrame:
+    """What ``counter_rate`` gives, for series with any number of samples in any stretch of time.
+
+    Samples are cut into blocks of about equally many rows, and a window's increase is the difference of two exact running
+    sums: a sample costs the same however many its window covers. Increases count to twelve decimals. Without hot
+    series ``counter_rate`` moves less.
+    """
+    known = samples.where(F.col("value").isNotNull() & ~F.isnan("value")).select(*series, "ts", "value")
+    known = known.withColumn("_at", F.unix_micros("ts"))
+    previous, value = F.col("previous"), F.col("value")
+    increase = F.when(previous.isNull(), 0.0).when(value >= previous, value - previous).otherwise(value)
+    grown = with_previous(known, series, "_at", "value").withColumn("_increase", increase.cast(_INCREASE))
+    sums = trailing_sums(grown, series, F.col("_at"), window * 1_000_000, _INCREASE, _sum=F.col("_increase"))
+    return grown.join(sums.withColumnRenamed("at", "_at"), [*series, "_at"]).select(
+        *series, "ts", "value", (F.col("_sum").cast("double") / F.lit(float(window))).alias("rate")
+    )

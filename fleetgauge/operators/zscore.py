@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge.config import seconds
 from fleetgauge.functions.numbers import sum_of_centi
+from fleetgauge.operators.series import trailing_sums
 
-SALTS = 16
+# Readings of one truck and window that meet their statistics in one task.
+BLOCK = 1 << 20
+# Readings of more hundredths are scored, but aren't part of the trailing statistics, whose squares have 38 digits.
+MOST_CENTI = 10**12
 
 
-def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: float = 3.0) -> DataFrame:
+def _score(centi: Column, n: Column, total: Column, squares: Column) -> Column:
+    """Distance from the mean in standard deviations; null without spread."""
+    n, total, squares = (c.cast("double") for c in (n, total, squares))
+    spread = F.when(n > 1, n * squares - total * total)
+    return F.round((centi * n - total) / F.sqrt(F.nullif(spread, F.lit(0.0))), 6)
+
+
+def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: float = 3.0, block: int = BLOCK) -> DataFrame:
     """Readings more than ``threshold`` standard deviations from the mean of their truck's readings in the
     same ``window`` seconds, with ``zscore``. Windows without spread have none.
 
@@ -26,13 +37,30 @@ def zscore_anomalies(normalized: DataFrame, window: int = 86_400, threshold: flo
         sum_of_centi("temperature_centi").alias("_sum"),
         F.coalesce(F.try_sum(square).cast("double"), F.sum(square.cast("double"))).alias("_squares"),
     )
-    n, total = F.col("_n").cast("double"), F.col("_sum").cast("double")
-    spread = F.when(F.col("_n") > 1, n * F.col("_squares") - total * total)
-    score = (F.col("temperature_centi") * n - total) / F.sqrt(F.nullif(spread, F.lit(0.0)))
-    # A window's readings meet its one row of statistics in SALTS tasks, as a window may hold any share of
-    # the readings.
-    salt = F.pmod(F.xxhash64("truck_id", "timestamp"), F.lit(SALTS))
-    salted = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    scored = timed.withColumn("_salt", salt).join(salted, ["truck_id", "_window", "_salt"])
-    scored = scored.withColumn("zscore", F.round(score, 6))
+    # A window with more than a block of readings meets its one row of statistics in a task per block. There are
+    # fewer such windows than blocks in the table.
+    parts = F.call_function("div", F.col("_n") + (block - 1), F.lit(block).cast("bigint"))
+    stats = stats.withColumn("_parts", parts)
+    large = stats.where("_parts > 1").select("truck_id", "_window", "_parts")
+    salt = F.pmod(F.xxhash64("truck_id", "timestamp"), F.coalesce("_parts", F.lit(1).cast("bigint")))
+    salted = stats.withColumn("_salt", F.explode(F.expr("sequence(0L, _parts - 1)"))).drop("_parts")
+    spread = timed.join(large, ["truck_id", "_window"], "left").withColumn("_salt", salt)
+    scored = spread.join(salted, ["truck_id", "_window", "_salt"])
+    scored = scored.withColumn("zscore", _score(F.col("temperature_centi"), F.col("_n"), F.col("_sum"), F.col("_squares")))
+    return scored.where(F.abs("zscore") > threshold).select(*normalized.columns, "zscore")
+
+
+def trailing_zscores(normalized: DataFrame, window: int = 86_400, threshold: float = 3.0) -> DataFrame:
+    """Readings more than ``threshold`` standard deviations from the mean of their truck's readings of the ``window``
+    seconds up to them, both ends and readings of the same instant included, with ``zscore``. A reading alone in its
+    range, or in one without spread, has none."""
+    at = F.unix_micros("event_time")
+    counted = F.col("temperature_centi") <= MOST_CENTI
+    centi = F.when(counted, F.col("temperature_centi")).otherwise(0).cast("decimal(19,0)")
+    stats = trailing_sums(
+        normalized, ("truck_id",), at, window * 1_000_000,
+        _n=F.when(counted, 1).otherwise(0), _sum=centi, _squares=centi * centi,
+    )
+    scored = normalized.withColumn("at", at).join(stats, ["truck_id", "at"])
+    scored = scored.withColumn("zscore", _score(F.col("temperature_centi"), F.col("_n"), F.col("_sum"), F.col("_squares")))
     return scored.where(F.abs("zscore") > threshold).select(*normalized.columns, "zscore")

@@ -464,8 +464,12 @@ FROM offsets GROUP BY ROLLUP (topic)""",
     "counter_rates": counter(60),
     "counter_rates_with_gaps": counter(
         60, "HAVING max(event_id % 1000) % 7 <> 6 AND max(event_id % 1000) % 11 <> 10"),
+    "counter_rates_by_blocks": counter(
+        60, "HAVING max(event_id % 1000) % 7 <> 6 AND max(event_id % 1000) % 11 <> 10"),
     "counter_rates_hourly": counter(3600),
     "alert_states": f"""{ALERTS}
+SELECT alert, severity, metric, {iso('ts')} AS ts, value, {iso('since')} AS active_since, state FROM states""",
+    "alert_states_by_blocks": f"""{ALERTS}
 SELECT alert, severity, metric, {iso('ts')} AS ts, value, {iso('since')} AS active_since, state FROM states""",
     "alerts_now": f"""{ALERTS}
 SELECT alert, metric, severity, {iso('ts')} AS ts, state, {iso('since')} AS active_since
@@ -510,6 +514,17 @@ stats AS (
   FROM norm JOIN stats ON norm.truck_id = stats.truck_id AND epoch_us(event_time) // 2592000000000 = w
   WHERE n > 1
 )''')} SELECT * FROM scored WHERE abs(zscore) > 2.5""",
+    "trailing_zscores": f"""{base(*NORMALIZED, """
+stats AS (
+  SELECT truck_id, seq, centi, CAST(count(*) OVER t AS DOUBLE) AS n, CAST(sum(centi::HUGEINT) OVER t AS DOUBLE) AS s,
+         CAST(sum(centi::HUGEINT * centi) OVER t AS DOUBLE) AS sq
+  FROM norm WINDOW t AS (PARTITION BY truck_id ORDER BY epoch_us(event_time)
+                         RANGE BETWEEN 864000000000 PRECEDING AND CURRENT ROW)
+), scored AS (
+  SELECT truck_id, seq, centi / 100.0 AS temperature_c,
+         round((centi * n - s) / sqrt(nullif(n * sq - s * s, 0.0)), 6) AS zscore
+  FROM stats WHERE n > 1
+)""")} SELECT * FROM scored WHERE abs(zscore) > 2.0""",
     "stream_window_averages": f"{base(*NORMALIZED, windows(21600, 3600))}{wire()}",
     "stream_state": f"{base(raw('0'), FIRSTS, NORM, TOTALS)} SELECT * FROM totals",
     "stream_state_resumed": f"{base(raw('0'), FIRSTS, NORM, TOTALS)} SELECT * FROM totals",

@@ -12,7 +12,7 @@ from fleetgauge.functions.numbers import average_of, from_centi
 from fleetgauge.functions.payloads import decode, state_key, truck_of_key
 from fleetgauge.functions.times import iso_utc
 from fleetgauge.operators import audits, fleet, quality, rates, recovery, state, validation, zscore
-from fleetgauge.operators.alerts import current_alerts, sustained_alerts
+from fleetgauge.operators.alerts import current_alerts, sustained_alerts, sustained_alerts_by_blocks
 from fleetgauge.operators.dedup import accepted_readings, dedup_readings, split_stages
 from fleetgauge.operators.normalize import normalize, rejected_readings as rejected, temperature_filter, with_event_time
 from fleetgauge.operators.snapshots import StateHistory
@@ -536,6 +536,16 @@ def counter_rates_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _iso(rates.counter_rate(samples, window=3600, span=7200), "ts")
 
 
+@query
+def counter_rates_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _iso(rates.counter_rate_by_blocks(tables.counter_samples_with_gaps(spark, sf_dir)), "ts")
+
+
+@query
+def alert_states_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _iso(sustained_alerts_by_blocks(tables.gauge_samples(spark, sf_dir)), "ts", "active_since")
+
+
 @query
 def alert_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _iso(sustained_alerts(tables.gauge_samples(spark, sf_dir)), "ts", "active_since")
@@ -597,6 +607,13 @@ def zscore_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("truck_id", "seq", "temperature_c", "zscore")
 
 
+@query
+def trailing_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.normalized_readings(spark, sf_dir)
+    found = zscore.trailing_zscores(rows, window=10 * 86_400, threshold=2.0)
+    return found.select("truck_id", "seq", "temperature_c", "zscore")
+
+
 # Streams over the same tables, run to the end of what is there
 
 
