@@ -34,6 +34,8 @@ BITS = 1 << 26
 UNKNOWN = "und"
 #: Bytes of text that a task works on at once.
 SLICE = 1 << 20
+#: Batches that Python gets of texts, and of rows of hashes: both sides hold several copies of one.
+TEXTS_AT_ONCE, HASHES_AT_ONCE = "12m", "4m"
 #: Small row groups, looked at after every row: a file of a few large rows can then be read in parts.
 SMALL_GROUPS = {"parquet.block.size": str(4 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 #: What ends a piece is made a full stop, which is then a word by itself and no other word.
@@ -204,7 +206,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     text = F.coalesce(docs[text_col], F.lit(""))
     texts = docs.select(F.pmod(F.xxhash64(lang, text), F.lit(shards)).cast("int").alias("shard"), lang.alias("lang"),
                         text.cast("binary").alias("text"))
-    words = hashed_words(texts)
+    with shuffles_removed(docs.sparkSession, TEXTS_AT_ONCE):
+        words = hashed_words(texts)
     in_shard = words.groupBy("lang", "shard").agg(F.sum("n").alias("n_shard"))
     in_all = as_table(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-languages")
     least = as_table(in_shard.join(in_all, "lang").select(
@@ -217,13 +220,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     for size in range(1, longest + 1):
         found = 0
         for shard in range(shards):  # one after the other, so that one shard's counts at a time take disk
-            with shuffles_removed(docs.sparkSession):
+            with shuffles_removed(docs.sparkSession, HASHES_AT_ONCE):
                 found += add_frequent(bitmap, shard_counts(words.filter(F.col("shard") == shard), size, sent))
         if not found:
             break
         sent.destroy()
         sent = context.broadcast(bitmap)
-    with shuffles_removed(docs.sparkSession):
+    with shuffles_removed(docs.sparkSession, TEXTS_AT_ONCE):
         return as_table(exact_counts(texts, longest, sent).filter(F.col("n") >= support), "phrase-counts"), in_all
 
 

@@ -58,16 +58,20 @@ def as_table(df: DataFrame, purpose: str, **options: str) -> DataFrame:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """What is built and run in here leaves no shuffle files behind once it has run. For results that are collected or
-    written, not for plans that run later."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+def shuffles_removed(spark: SparkSession, batch: str | None = None) -> Iterator[None]:
+    """What is built and run in here leaves no shuffle files behind once it has run, and Python gets batches of about
+    ``batch`` bytes at most. For results that are collected or written, not for plans that run later."""
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if batch:
+        settings["spark.sql.execution.arrow.maxBytesPerBatch"] = batch
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 #: Rows of at most so many ids, or ids with small arrays, are sent to all tasks (a few tens of MB at the most).
