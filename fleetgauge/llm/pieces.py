@@ -15,14 +15,18 @@ import re
 import struct
 from collections.abc import Iterator
 from hashlib import sha256
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fleetgauge.llm.common import KNOWN_WORDS, batch_of, id_text, kept_in_worker, sql_type
+from fleetgauge.llm.common import KNOWN_WORDS, batch_of, id_text, kept_in_worker, slices, sql_type
 
 MARK = "▁"
+#: Bytes of text whose runs are looked up together.
+SLICE = 1 << 20
 
 
 def fields(message: bytes) -> Iterator[tuple[int, object]]:
@@ -118,10 +122,6 @@ class Model:
             at += size
         return (out.decode(), np.array([*places, len(raw)])) if len(out) > 3 else ("", np.zeros(1, dtype=int))
 
-    def encode(self, text: str) -> list[tuple]:
-        """What ``Runs`` says of all runs of the normalised text, in order."""
-        return list(map(self.known.__getitem__, RUNS.findall(self.normalised(text)[0]))) if text else []
-
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """``(id, begin, end)`` of every piece in bytes of the source. The mark in front is no byte of it."""
         normal, places = self.normalised(text)
@@ -180,23 +180,103 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     return rows.mapInArrow(work, f"doc_id {sql_type(rows, 'doc_id')}, spans array<struct<id:int,begin:int,end:int>>")
 
 
+class RunIndex:
+    """Runs by number, with what digests of whole texts need of each: its ids as text, how many they are, what they decode
+    to, and where every piece ends in normalised bytes."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.ends = np.empty(0, dtype=np.int64)
+        self.bounds = np.zeros(1, dtype=np.int64)
+
+    def decode(self, ids: list[int]) -> bytes:
+        """What the ids stand for: bytes, the mark as a blank, and the library's sign for what it doesn't know."""
+        library, out = self.model.library, b""
+        for i in ids:
+            if library.is_byte(i):
+                out += bytes([int(self.model.pieces[i][1:-1], 16)])
+            elif library.is_unknown(i):
+                out += UNKNOWN
+            elif not library.is_control(i):
+                out += self.model.pieces[i].replace(MARK, " ").encode()
+        return out
+
+    def learn(self, runs: list[str]) -> None:
+        new = set(runs).difference(self.number)
+        if len(self.number) + len(new) > KNOWN_WORDS:
+            self.forget()
+            new = set(runs)
+        if not new:
+            return
+        ends = []
+        for run in new:
+            ids, _, _, found, numbers = self.model.known[run]
+            self.number[run] = len(self.number)
+            self.ids[run] = ids
+            self.decoded[run] = self.decode(numbers)
+            ends.append(found)
+        self.model.known.clear()
+        self.ends = np.concatenate([self.ends, *ends])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ends])])
+
+    def piece_ends(self, runs: list[str]) -> np.ndarray:
+        """Where every piece of a text ends in its normalised bytes."""
+        at = np.fromiter(map(self.number.__getitem__, runs), dtype=np.int64, count=len(runs))
+        starts, n = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+        behind = np.cumsum(n)
+        found = self.ends[np.repeat(starts - (behind - n), n) + np.arange(behind[-1])]
+        widths = self.ends[self.bounds[at + 1] - 1]
+        return found + np.repeat(np.cumsum(widths) - widths, n)
+
+
+#: What the library decodes an unknown piece to.
+UNKNOWN = " ⁇ ".encode()
+
+
+def source_ends(raw: bytes, ends: np.ndarray, places: np.ndarray | None) -> np.ndarray:
+    """Ends in normalised bytes as ends in the source, whose blanks are marks of three bytes there, behind one mark more."""
+    if places is not None:
+        return places[ends]
+    widths = np.where(np.frombuffer(raw, dtype=np.uint8) == 32, 3, 1)
+    return np.searchsorted(np.cumsum(widths) + 3, ends, side="right")
+
+
 def encode_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As ``encode_pieces``, summed up: ``doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes``. The ids decode to
-    their runs, without the mark in front; ``n_bytes`` is where the last piece ends in normalised bytes."""
+    """As ``encode_pieces``, summed up: ``doc_id, n_tokens, ids_sha256, decoded_sha256, spans_crc32``. The text is decoded
+    from the ids; ``spans_crc32`` is the CRC-32 of where every piece ends in the source's bytes, 32 bits each in little
+    endian (pieces leave no gaps, so that a piece begins where the one before ends)."""
     rows = id_text(docs, id_col, text_col)
-    out = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "n_bytes": pa.int64()}
+    out = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "spans_crc32": pa.int64()}
 
-    def digest(text: str, model: Model) -> tuple:
-        runs = model.encode(text)
-        decoded = "".join([x[2] for x in runs])[1:]
-        return (sum([x[1] for x in runs]), sha256(",".join([x[0] for x in runs]).encode()).hexdigest(),
-                sha256(decoded.encode()).hexdigest(), sum([int(x[3][-1]) for x in runs]))
+    def digest(text: str, runs: list[str], places: np.ndarray | None, index: RunIndex) -> tuple:
+        if not runs:
+            return 0, EMPTY, EMPTY, 0
+        decoded = b"".join(map(index.decoded.__getitem__, runs))[1:]
+        ends = index.piece_ends(runs)
+        spans = source_ends(text.encode(), ends, places).astype("<u4").tobytes()
+        return (len(ends), sha256(",".join(map(index.ids.__getitem__, runs)).encode()).hexdigest(),
+                sha256(decoded).hexdigest(), crc32(spans))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = kept_in_worker(("pieces", model_path), lambda: Model(model_path))
+        index = kept_in_worker(("piece runs", model_path), lambda: RunIndex(Model(model_path)))
         for batch in batches:
-            found = [digest(t.as_py(), model) for t in batch.column(1)]
+            found = []
+            for begin, end in slices(pa.compute.binary_length(batch.column(1)).to_pylist(), SLICE):
+                texts = batch.column(1).slice(begin, end - begin).to_pylist()
+                normal = [index.model.normalised(t) if t else ("", None) for t in texts]
+                runs = [RUNS.findall(n) for n, _ in normal]
+                index.learn(list(chain.from_iterable(runs)))
+                found += [digest(t, r, places, index) for t, r, (_, places) in zip(texts, runs, normal, strict=True)]
             yield batch_of(out, batch.column(0), list(zip(*found, strict=True)) or [[]] * len(out))
 
     return rows.mapInArrow(
-        work, f"doc_id {sql_type(rows, 'doc_id')}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_bytes bigint")
+        work, f"doc_id {sql_type(rows, 'doc_id')}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_crc32 bigint")
+
+
+EMPTY = sha256(b"").hexdigest()
