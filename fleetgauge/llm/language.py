@@ -143,7 +143,14 @@ def gradients(net: Net, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> lis
 def learn(docs: DataFrame, learnable: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Net | None:
     """A network from the labelled rows for which ``learnable`` holds: all of them, or as many as make
-    ``sample_docs`` expected ones, chosen by a hash of id and text; of each a stretch of ``SAMPLE_CHARS`` code points."""
+    ``sample_docs`` expected ones, chosen by a hash of the id; of each a stretch of ``SAMPLE_CHARS`` code points. Rows that
+    share an id are chosen together; there are never more than twice ``sample_docs``."""
+    sample = sample_of(docs, learnable, id_col, text_col, lang_col, sample_docs).toPandas().sort_values(["lang", "text"])
+    return train([bytes(t) for t in sample["text"]], sample["lang"].tolist())
+
+
+def sample_of(docs: DataFrame, learnable: Column | None, id_col: str, text_col: str, lang_col: str, sample_docs: int) -> DataFrame:
+    """``lang, text`` of the rows to learn from, at most ``2 * sample_docs``."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if learnable is not None:
@@ -152,10 +159,9 @@ def learn(docs: DataFrame, learnable: Column | None = None, id_col: str = "doc_i
     mark = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
     free = F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))
     begin = (F.pmod(F.xxhash64("doc_id", F.lit(12)), free) + 1).cast("int")
-    sample = (rows.filter(mark < int(share * (1 << 30)))
-              .select("lang", F.substring("text", begin, F.lit(SAMPLE_CHARS)).cast("binary").alias("text"))
-              .toPandas().sort_values(["lang", "text"]))
-    return train([bytes(t) for t in sample["text"]], sample["lang"].tolist())
+    return (rows.filter(mark < int(share * (1 << 30)))
+            .select("lang", F.substring("text", begin, F.lit(SAMPLE_CHARS)).cast("binary").alias("text"), mark.alias("mark"))
+            .orderBy("mark", "lang", "text").limit(2 * sample_docs).select("lang", "text"))
 
 
 def predict(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
