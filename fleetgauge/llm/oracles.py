@@ -34,6 +34,56 @@ def _clustering(dims: int = 64, clusters: int = 8, rounds: int = 10) -> str:
         JOIN (SELECT c, sha256(string_agg(m::BIGINT::VARCHAR, ',' ORDER BY d)) AS h FROM c{rounds} GROUP BY c) s ON {last}.c = s.c"""
 
 
+def _mixing(block: int = 128, shard: int = 4096, unit: int = 1 << 20, rounds: int = 16) -> str:
+    """Targets in closed form: sources by their bound over their weight, those at their bound first. A round of the
+    permutation is a table of its own."""
+    parts = [rf"""
+        WITH docs AS MATERIALIZED (
+                 SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                        row_number() OVER () AS row FROM documents),
+             counted AS (SELECT source, sum(size)::BIGINT AS size FROM docs GROUP BY source),
+             numbered AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS number FROM counted),
+             weighed AS (SELECT *, [3, 1, 2][number % 3 + 1] AS w, (size + {block - 1}) // {block} AS blocks, (SELECT sum(size) FROM counted) AS whole
+                         FROM numbered),
+             stepped AS (SELECT *, coalesce(sum(2 * size) OVER (ORDER BY 2.0 * size / w, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier,
+                                sum(w) OVER (ORDER BY 2.0 * size / w, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM weighed),
+             bounded AS (SELECT *, 4 * size * open < w * (3 * whole - 2 * earlier) AS capped FROM stepped),
+             level AS (SELECT coalesce(sum(2 * size) FILTER (WHERE capped), 0)::HUGEINT AS taken, coalesce(sum(w) FILTER (WHERE NOT capped), 1)::HUGEINT AS open FROM bounded),
+             aimed AS (SELECT b.*, CASE WHEN capped THEN (2 * size)::DOUBLE
+                                        ELSE (w * (3 * whole - 2 * level.taken))::DOUBLE / (2 * level.open)::DOUBLE END AS target,
+                              CASE WHEN size = 0 THEN 0 WHEN capped THEN 2 * blocks * {unit}
+                                   ELSE least(w * (3 * whole - 2 * level.taken) * blocks * {unit} // (size * 2 * level.open), 2 * blocks * {unit}) END::HUGEINT AS expected
+                       FROM bounded b, level),
+             k AS (SELECT greatest((sum(expected) + {shard * unit - 1}) // {shard * unit}, 1)::BIGINT AS shards, sum(expected) > 0 AS filled FROM aimed),
+             given AS (SELECT a.*, shards, (expected // (shards * {unit}))::BIGINT AS given FROM aimed a, k),
+             plan AS MATERIALIZED (SELECT *, ((expected - given::HUGEINT * shards * {unit}) // shards)::BIGINT AS tickets FROM given),
+             leftover AS (SELECT (any_value(shards) * sum(tickets) + {unit // 2}) // {unit} AS left_over, sum(tickets) AS tickets, any_value(shards) AS shards FROM plan),
+             draws AS (SELECT shard, unnest(range(1, ((shard + 1) * left_over // k.shards - shard * left_over // k.shards + 1)::BIGINT)) AS draw, tickets
+                       FROM leftover, k, unnest(range(0, k.shards)) AS u(shard) WHERE filled),
+             drawn AS (SELECT shard, draw, (('0x' || substr(md5('mix:draw:' || shard || ':' || draw), 1, 12))::BIGINT % tickets)::BIGINT AS ticket
+                       FROM draws WHERE tickets > 0),
+             ranges AS (SELECT number, sum(tickets) OVER (ORDER BY number) - tickets AS low, sum(tickets) OVER (ORDER BY number) AS high FROM plan WHERE tickets > 0),
+             extra AS (SELECT number, count(*) AS n FROM drawn JOIN ranges ON ticket >= low AND ticket < high GROUP BY number),
+             slots AS (SELECT p.number, p.blocks, unnest(range(0, least(given * p.shards + coalesce(n, 0), 2 * p.blocks)::BIGINT)) AS i
+                       FROM plan p LEFT JOIN extra e ON p.number = e.number, k WHERE filled),
+             x0 AS (SELECT number, blocks, i // blocks AS turn, i % blocks AS x FROM slots)"""]
+    for r in range(1, rounds + 1):
+        parts.append(f"""
+             o{r} AS (SELECT *, ((('0x' || substr(md5('mix:' || number || ':' || turn || ':{r}'), 1, 12))::BIGINT % blocks - x) % blocks + blocks) % blocks AS o
+                     FROM x{r - 1}),
+             x{r} AS (SELECT number, blocks, turn, CASE WHEN substr(md5('mix:' || number || ':' || turn || ':{r}:' || greatest(x, o)), 1, 1) < '8'
+                                                       THEN o ELSE x END AS x FROM o{r})""")
+    return ",".join(parts) + f""",
+             times AS MATERIALIZED (SELECT number, x AS block, count(*) AS times FROM x{rounds} GROUP BY ALL),
+             places AS (SELECT d.*, p.number, p.target, p.size AS source_size,
+                               sum(d.size) OVER (PARTITION BY p.number ORDER BY d.doc_id NULLS FIRST, d.size, d.row ROWS UNBOUNDED PRECEDING) - d.size AS pos
+                        FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+             pieces AS (SELECT row, number, pos, size, unnest(range((pos // {block})::BIGINT, ((pos + size - 1) // {block} + 1)::BIGINT)) AS block FROM places WHERE size > 0),
+             taken AS (SELECT row, sum((least(pos + size, (p.block + 1) * {block}) - greatest(pos, p.block * {block})) * times) AS taken
+                       FROM pieces p JOIN times t ON p.number = t.number AND p.block = t.block GROUP BY row)
+        SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM places LEFT JOIN taken ON places.row = taken.row"""
+
+
 ORACLES = {
     "op7_exact_dedup": rf"""
         WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -89,6 +139,7 @@ ORACLES = {
              m AS (SELECT id, min(reached) AS component FROM c GROUP BY id)
         SELECT e.doc_id, e.n AS n_shingles, CASE WHEN e.n = 0 THEN e.doc_id ELSE m.component END AS component_id
         FROM e JOIN m ON e.rep = m.id""",
+    "op11_source_mixing": _mixing(),
     "op12_centroid_clustering": _clustering(),
     "op13_phrase_collocations": r"""
         WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''),
