@@ -15,7 +15,7 @@ import re
 import struct
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import accumulate, chain
 from zlib import crc32
 
 import numpy as np
@@ -137,7 +137,7 @@ class Model:
         for run in RUNS.findall(normal):
             _, _, _, ends, ids = self.known[run]
             begin = at
-            for i, end in zip(ids, (at + ends).tolist(), strict=True):
+            for i, end in zip(ids, [at + e for e in ends], strict=True):
                 out.append((i, int(places[begin]), int(places[end])))
                 begin = end
             at = begin
@@ -162,7 +162,7 @@ class Runs(dict):
         # The library puts one mark in front, and makes the others from blanks.
         ids = self.encode(run[1:].replace(MARK, " ")) if len(run) > 1 else [self.mark]
         found = self[run] = (",".join(map(str, ids)), len(ids), run.replace(MARK, " "),
-                             np.cumsum([self.widths[i] for i in ids]), ids)
+                             list(accumulate([self.widths[i] for i in ids])), ids)
         return found
 
 
@@ -186,6 +186,7 @@ class RunIndex:
 
     def __init__(self, model: Model):
         self.model = model
+        self.bytes = list(map(self.bytes_of, range(len(model.pieces))))
         self.forget()
 
     def forget(self) -> None:
@@ -195,17 +196,17 @@ class RunIndex:
         self.ends = np.empty(0, dtype=np.int64)
         self.bounds = np.zeros(1, dtype=np.int64)
 
+    def bytes_of(self, i: int) -> bytes:
+        """What an id stands for: a byte, text with the mark as a blank, or the library's sign for what it doesn't know."""
+        library = self.model.library
+        if library.is_byte(i):
+            return bytes([int(self.model.pieces[i][1:-1], 16)])
+        if library.is_unknown(i):
+            return UNKNOWN
+        return b"" if library.is_control(i) else self.model.pieces[i].replace(MARK, " ").encode()
+
     def decode(self, ids: list[int]) -> bytes:
-        """What the ids stand for: bytes, the mark as a blank, and the library's sign for what it doesn't know."""
-        library, out = self.model.library, b""
-        for i in ids:
-            if library.is_byte(i):
-                out += bytes([int(self.model.pieces[i][1:-1], 16)])
-            elif library.is_unknown(i):
-                out += UNKNOWN
-            elif not library.is_control(i):
-                out += self.model.pieces[i].replace(MARK, " ").encode()
-        return out
+        return b"".join([self.bytes[i] for i in ids])
 
     def learn(self, runs: list[str]) -> None:
         new = set(runs).difference(self.number)
@@ -222,7 +223,7 @@ class RunIndex:
             self.decoded[run] = self.decode(numbers)
             ends.append(found)
         self.model.known.clear()
-        self.ends = np.concatenate([self.ends, *ends])
+        self.ends = np.concatenate([self.ends, np.fromiter(chain.from_iterable(ends), dtype=np.int64)])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ends])])
 
     def piece_ends(self, runs: list[str]) -> np.ndarray:
