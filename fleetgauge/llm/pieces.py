@@ -2,8 +2,9 @@
 
 A text is normalised by the model's compiled character map: at each place the longest key of its trie is replaced,
 or else one character is kept. Every normalised byte remembers where its source begins and ends. White space becomes
-U+2581, and the normalised text falls into runs of that mark with what follows; no piece reaches over such a border,
-so that a run is encoded alone, once, and remembered. The pieces' lengths then project onto the source.
+U+2581, and the normalised text falls into runs of that mark with what follows; no piece reaches over such a border.
+``encode_pieces`` encodes a run alone, once, and remembers it; ``encode_digests`` encodes whole texts, long ones in
+sections between such borders, which costs less where most runs are new. The pieces' lengths project onto the source.
 
 Defined cases: a null or empty text has no ids; rows are never compared, so null ids, ties and repeated rows need no
 rule. A text is worked on alone, so that memory follows the longest one.
@@ -15,18 +16,16 @@ import re
 import struct
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import accumulate, chain
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fleetgauge.llm.common import KNOWN_WORDS, batch_of, id_text, kept_in_worker, slices, sql_type
+from fleetgauge.llm.common import KNOWN_WORDS, batch_of, id_text, kept_in_worker, sql_type
 
 MARK = "▁"
-#: Bytes of text whose runs are looked up together.
-SLICE = 1 << 20
 
 
 def fields(message: bytes) -> Iterator[tuple[int, object]]:
@@ -180,21 +179,14 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     return rows.mapInArrow(work, f"doc_id {sql_type(rows, 'doc_id')}, spans array<struct<id:int,begin:int,end:int>>")
 
 
-class RunIndex:
-    """Runs by number, with what digests of whole texts need of each: its ids as text, how many they are, what they decode
-    to, and where every piece ends in normalised bytes."""
+class PieceTables:
+    """By id: its number as text, what it decodes to, and its width in normalised bytes."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.names = list(map(str, range(len(model.pieces))))
         self.bytes = list(map(self.bytes_of, range(len(model.pieces))))
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.ends = np.empty(0, dtype=np.int64)
-        self.bounds = np.zeros(1, dtype=np.int64)
+        self.widths = np.array(model.widths, dtype=np.int64)
 
     def bytes_of(self, i: int) -> bytes:
         """What an id stands for: a byte, text with the mark as a blank, or the library's sign for what it doesn't know."""
@@ -206,34 +198,34 @@ class RunIndex:
         return b"" if library.is_control(i) else self.model.pieces[i].replace(MARK, " ").encode()
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.bytes[i] for i in ids])
-
-    def learn(self, runs: list[str]) -> None:
-        new = set(runs).difference(self.number)
-        if len(self.number) + len(new) > KNOWN_WORDS:
-            self.forget()
-            new = set(runs)
-        if not new:
-            return
-        ends = []
-        for run in new:
-            ids, _, _, found, numbers = self.model.known[run]
-            self.number[run] = len(self.number)
-            self.ids[run] = ids
-            self.decoded[run] = self.decode(numbers)
-            ends.append(found)
-        self.model.known.clear()
-        self.ends = np.concatenate([self.ends, np.fromiter(chain.from_iterable(ends), dtype=np.int64)])
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ends])])
-
-    def piece_ends(self, runs: list[str]) -> np.ndarray:
-        """Where every piece of a text ends in its normalised bytes."""
-        at = np.fromiter(map(self.number.__getitem__, runs), dtype=np.int64, count=len(runs))
-        starts, n = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        behind = np.cumsum(n)
-        found = self.ends[np.repeat(starts - (behind - n), n) + np.arange(behind[-1])]
-        widths = self.ends[self.bounds[at + 1] - 1]
-        return found + np.repeat(np.cumsum(widths) - widths, n)
+        return b"".join(map(self.bytes.__getitem__, ids))
+
+    def ids(self, text: str) -> list[int]:
+        """The library's ids. Long texts are encoded in sections that begin where no piece reaches over: at a blank between
+        other characters, in whose place the library puts its own mark."""
+        if len(text) <= SECTION or self.model.chars.units:
+            return self.model.library.encode(text)
+        return [i for part in sections(text) for i in self.model.library.encode(part)]
+
+    def piece_ends(self, ids: list[int], size: int) -> np.ndarray:
+        """Where every piece ends in the normalised bytes, which are ``size``."""
+        ends = np.cumsum(self.widths[np.array(ids, dtype=np.int64)])
+        if (ends[-1] if len(ends) else 0) != size:
+            raise ValueError("pieces don't cover the normalised text")
+        return ends
+
+
+#: Characters of a text that the library gets at once, where the text has a place to cut.
+SECTION = 1 << 20
+_CUT = re.compile(f"(?<=[^ {MARK}]) (?=[^ {MARK}])")
+
+
+def sections(text: str) -> Iterator[str]:
+    begin = 0
+    while len(text) - begin > SECTION and (cut := _CUT.search(text, begin + SECTION)):
+        yield text[begin:cut.start()]
+        begin = cut.end()
+    yield text[begin:]
 
 
 #: What the library decodes an unknown piece to.
@@ -255,25 +247,21 @@ def encode_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
     rows = id_text(docs, id_col, text_col)
     out = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "spans_crc32": pa.int64()}
 
-    def digest(text: str, runs: list[str], places: np.ndarray | None, index: RunIndex) -> tuple:
-        if not runs:
+    def digest(text: str, tables: PieceTables) -> tuple:
+        ids = tables.ids(text) if text else []
+        if not ids:
             return 0, EMPTY, EMPTY, 0
-        decoded = b"".join(map(index.decoded.__getitem__, runs))[1:]
-        ends = index.piece_ends(runs)
-        spans = source_ends(text.encode(), ends, places).astype("<u4").tobytes()
-        return (len(ends), sha256(",".join(map(index.ids.__getitem__, runs)).encode()).hexdigest(),
-                sha256(decoded).hexdigest(), crc32(spans))
+        raw = text.encode()
+        normal, places = tables.model.normalised(text)
+        ends = tables.piece_ends(ids, len(normal.encode()))
+        spans = source_ends(raw, ends, places).astype("<u4").tobytes()
+        return (len(ids), sha256(",".join(map(tables.names.__getitem__, ids)).encode()).hexdigest(),
+                sha256(tables.decode(ids)[1:]).hexdigest(), crc32(spans))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = kept_in_worker(("piece runs", model_path), lambda: RunIndex(Model(model_path)))
+        tables = kept_in_worker(("piece tables", model_path), lambda: PieceTables(Model(model_path)))
         for batch in batches:
-            found = []
-            for begin, end in slices(pa.compute.binary_length(batch.column(1)).to_pylist(), SLICE):
-                texts = batch.column(1).slice(begin, end - begin).to_pylist()
-                normal = [index.model.normalised(t) if t else ("", None) for t in texts]
-                runs = [RUNS.findall(n) for n, _ in normal]
-                index.learn(list(chain.from_iterable(runs)))
-                found += [digest(t, r, places, index) for t, r, (_, places) in zip(texts, runs, normal, strict=True)]
+            found = [digest(text.as_py(), tables) for text in batch.column(1)]
             yield batch_of(out, batch.column(0), list(zip(*found, strict=True)) or [[]] * len(out))
 
     return rows.mapInArrow(

@@ -38,17 +38,23 @@ def test_digests_against_the_library_and_the_spans(spark, texts):
 
 def test_runs_are_forgotten_and_learned_again(texts, monkeypatch):
     monkeypatch.setattr(pieces, "KNOWN_WORDS", 50)
-    index = pieces.RunIndex(pieces.Model(PIECE_MODEL))
+    model = pieces.Model(PIECE_MODEL)
     for t in texts[5:300]:
-        runs = pieces.RUNS.findall(index.model.normalised(t)[0])
-        index.learn(runs)
-        want = [x for run in runs for x in index.model.library.encode(run[1:].replace(pieces.MARK, " ")) or [0]]
-        assert len(index.piece_ends(runs)) == len(want)
+        assert [i for i, _, _ in model.spans(t)] == model.library.encode(t)
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_sections_of_long_texts_have_the_ids_of_the_whole(texts, monkeypatch, size):
+    monkeypatch.setattr(pieces, "SECTION", size)
+    tables = pieces.PieceTables(pieces.Model(PIECE_MODEL))
+    for t in [*texts[2:4], *texts[5:], "a b" * 200, "a  b " * 50, "a ▁b▁ c" * 50, " x y ", "no-blank" * 30]:
+        assert tables.ids(t) == tables.model.library.encode(t), t
+    assert len(list(pieces.sections("a b" * 200))) > 10
 
 
 def test_unknown_and_byte_pieces_decode_by_their_kind():
-    index = pieces.RunIndex(pieces.Model(PIECE_MODEL))
-    library = index.model.library
-    assert index.decode([library.unk_id()]) == pieces.UNKNOWN == library.decode([library.unk_id()]).encode()
+    tables = pieces.PieceTables(pieces.Model(PIECE_MODEL))
+    library = tables.model.library
+    assert tables.decode([library.unk_id()]) == pieces.UNKNOWN == library.decode([library.unk_id()]).encode()
     some = [i for i in range(library.get_piece_size()) if library.is_byte(i)][0x41:0x43]
-    assert index.decode(some) == b"AB"
+    assert tables.decode(some) == b"AB"
