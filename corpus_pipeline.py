@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetgauge.llm import exact_copies, jaccard, language, packing, secrets
-from fleetgauge.llm.common import as_table, documents
+from fleetgauge.llm.common import TEXT_BATCH, as_table, documents, shuffles_removed
 from fleetgauge.llm.queries import WORD_TOKENIZER
 
 
@@ -53,5 +53,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = as_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with shuffles_removed(spark, TEXT_BATCH):
+            docs = as_table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

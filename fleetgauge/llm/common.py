@@ -17,6 +17,8 @@ SPACE = " \t\n\x0b\x0c\r"
 #: Bytes of text that a task works on at once, and words that it remembers.
 SLICE_BYTES = 4 << 20
 KNOWN_WORDS = 300_000
+#: Batches of texts that go to Python and back, where a stage must leave room for what earlier ones hold.
+TEXT_BATCH = "4m"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,10 +26,21 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import WordHashes, as_table, batch_of, id_bytes, mixed, sent_if_small, sql_type, window_hashes
+from fleetgauge.llm.common import (
+    TEXT_BATCH,
+    WordHashes,
+    as_table,
+    batch_of,
+    id_bytes,
+    mixed,
+    sent_if_small,
+    shuffles_removed,
+    sql_type,
+    window_hashes,
+)
 from fleetgauge.llm.components import components
 from fleetgauge.llm.exact_copies import keep_ids
 
@@ -163,21 +174,42 @@ def verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, width: int,
     return as_table(pairs.drop("near").join(found, ["a", "b"], "left"), "verified")
 
 
+def index_lists(own: DataFrame) -> DataFrame:
+    """``id, n, pos, token, head, head_n, head_pos`` of every shingle that stands in two prefixes or more: the list of a
+    shingle and its head, found in one pass over the list, so that the prefixes are shuffled once."""
+    postings = own.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token"))
+    along = Window.partitionBy("token").orderBy("pos", "id", "n")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = {"head": "id", "head_n": "n", "head_pos": "pos"}
+    alone = (F.row_number().over(along) == 1) & F.lead("token").over(along).isNull()
+    found = postings.withColumns({name: F.first(c).over(so_far) for name, c in head.items()} | {"alone": alone})
+    return found.filter(~F.col("alone")).drop("alone")
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     percent: int = 90) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id``. Sets link when they share at least
     ``percent`` of a hundred shingles of their union; a component is named by its smallest id."""
     rows = id_bytes(docs, id_col, text_col)
+    with shuffles_removed(docs.sparkSession, TEXT_BATCH):
+        sets, equal, final = classes_of_sets(rows, width, percent)
+    c = F.col
+    answer = equal.join(final, c("rep") == c("id"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    named = sets.filter("doc_id IS NOT NULL AND n > 0").join(answer, "set_key").select("doc_id", "n", "component")
+    alone = sets.filter("doc_id IS NULL OR n = 0").select("doc_id", "n", c("doc_id").alias("component"))
+    return named.unionByName(alone).select("doc_id", c("n").alias("n_shingles"), c("component").alias("component_id"))
+
+
+def classes_of_sets(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three written tables: ``doc_id, n, set_key`` of every row, ``set_key, rep`` of every set, and ``id, component`` of
+    the sets that link with others."""
     sets, counts = scan_sets(rows, width)
     known = sets.filter("doc_id IS NOT NULL AND n > 0")
     equal = as_table(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "equal-sets")
     reps = equal.select(F.col("rep").alias("doc_id")).distinct()
-    own = as_table(prefixes(rows, counts, width, percent).join(reps, "doc_id", "left_semi"), "prefixes")
-    postings = own.select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("pos", "token"))
-    heads = (postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("pos", "id", "n")).alias("head"))
-             .filter("size > 1").select("token", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"),
-                                        F.col("head.pos").alias("head_pos")))
-    listed = as_table(postings.join(heads, "token"), "index-lists")
+    own = as_table(prefixes(rows, counts, width, percent).join(sent_if_small(reps, equal.count()), "doc_id", "left_semi"),
+                   "prefixes")
+    listed = as_table(index_lists(own), "index-lists")
     sketches = own.select("doc_id", "n", "sketch")
 
     def reach(n1, p1, n2, p2) -> Column:
@@ -221,12 +253,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     second = verified(rest, rows, sketches, width, percent)
     more = linked(second, sizes, percent)
     stars = classes.filter("id != component").select(c("id").alias("a"), c("component").alias("b"))
-    final = components(stars.unionByName(more))
-
-    answer = equal.join(final, c("rep") == c("id"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    named = sets.filter("doc_id IS NOT NULL AND n > 0").join(answer, "set_key").select("doc_id", "n", "component")
-    alone = sets.filter("doc_id IS NULL OR n = 0").select("doc_id", "n", c("doc_id").alias("component"))
-    return named.unionByName(alone).select("doc_id", c("n").alias("n_shingles"), c("component").alias("component_id"))
+    return sets, equal, components(stars.unionByName(more))
 
 
 def linked(found: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:

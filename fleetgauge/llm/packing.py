@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from fleetgauge.llm.common import as_table, batch_of, id_bytes, kept_in_worker, slices, sql_type
+from fleetgauge.llm.common import TEXT_BATCH, as_table, batch_of, id_bytes, kept_in_worker, shuffles_removed, slices, sql_type
 
 CAPACITY = 2048
 END = 0
@@ -185,7 +185,8 @@ def tightest_pair(sizes: np.ndarray, stock: dict[int, list[int]], room: int) ->
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``pieces`` with the ``sequence_id`` each is packed into and its ``offset`` there."""
-    pieces = as_table(pieces, "pieces")
+    with shuffles_removed(pieces.sparkSession, TEXT_BATCH):
+        pieces = as_table(pieces, "pieces")
     shards = -(-pieces.count() // shard_pieces) or 1
     schema = StructType(pieces.schema.fields).add("sequence_id", LongType()).add("offset", LongType())
     # By the place in the table, which no two rows share: rows that repeat are dealt out like others.
