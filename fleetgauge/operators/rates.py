@@ -150,11 +150,27 @@ def counter_rate(
     previous, value = F.coalesce("_lag", "_carried"), F.col("value")
     increase = F.when(previous.isNull(), 0.0).when(value >= previous, value - previous).otherwise(value)
     grown = joined.withColumn("_increase", increase)
-    # A frame of its own for each sample: a difference of running sums would carry the rounding of every earlier
-    # increase along. It costs as many additions as the window covers samples.
-    trailing = grown.withColumn("_sum", F.sum("_increase").over(inside.rangeBetween(-window_us, 0)))
-    return trailing.where(span_at(F.col("_at")) == F.col("_span")).select(
-        *series, "ts", "value", (F.col("_sum") / F.lit(float(window))).alias("rate")
+    # A window is the end of one stretch of ``window`` and the beginning of the next one. Sums up to each sample in its
+    # stretch, and from there to the stretch's end, cost one addition a sample, and unlike a difference of running
+    # sums they have nothing in them but the window's own increases. A sample looks up where its window begins, in the
+    # stretch before its own, at a place of its own that stands before a sample of the same instant.
+    stretch = floor_div(F.col("_at"), window_us)
+    in_stretch = Window.partitionBy(*series, "_span", "_stretch")
+    so_far = F.sum("_increase").over(in_stretch.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    summed = grown.withColumn("_stretch", stretch).withColumn("_so_far", so_far)
+    point = F.struct(F.col("_at").alias("at"), F.col("_stretch").alias("stretch"), F.lit(1).alias("kind"),
+                     F.col("_increase").alias("increase"))
+    look_up = F.struct((F.col("_at") - window_us).alias("at"), (F.col("_stretch") - 1).alias("stretch"),
+                       F.lit(0).alias("kind"), F.lit(0.0).alias("increase"))
+    placed = F.when(span_at(F.col("_at")) == F.col("_span"), F.array(point, look_up)).otherwise(F.array(point))
+    places = summed.select(*series, "_span", "ts", "value", "_so_far", F.explode(placed).alias("_place")).select(
+        *series, "_span", "ts", "value", "_so_far", F.col("_place.at").alias("_at"),
+        F.col("_place.stretch").alias("_stretch"), F.col("_place.kind").alias("_kind"),
+        F.col("_place.increase").alias("_increase"))
+    to_end = in_stretch.orderBy(F.desc("_at"), F.desc("_kind")).rowsBetween(Window.unboundedPreceding, 0)
+    ended = places.withColumn("_to_end", F.sum("_increase").over(to_end)).where("_kind = 0")
+    return ended.select(
+        *series, "ts", "value", ((F.col("_to_end") + F.col("_so_far")) / F.lit(float(window))).alias("rate")
     )
 
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 from datetime import datetime, timedelta
 
@@ -208,3 +209,20 @@ def test_zscore(readings):
     found = zscore_anomalies(normalize(readings(*usual, (1, 90.0, "2026-01-01T00:01:00"), (2, 99.0, "2026-01-01"))))
     (row,) = found.collect()
     assert row.temperature_c == 90.0 and row.zscore > 5
+
+
+def test_counter_rate_costs_the_same_however_many_samples_a_window_covers(samples):
+    """No sample goes through the samples of its window again, and the sums are those of a loop: both ends, restarts,
+    stretches without samples and instants before 1970 included."""
+    rng = random.Random(21)
+    at = sorted(rng.sample(range(-400, 3000), 700))
+    values = [float(rng.randint(0, 50)) for _ in at]
+    rows = [("m", t, v) for t, v in zip(at, values, strict=True)]
+    df = samples(*rows)
+    increase = [0.0] + [v - u if v >= u else v for u, v in itertools.pairwise(values)]
+    for span in (10, 70):
+        found = counter_rate(df, window=10, span=span)
+        plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "rowframe" in plan and "rangeframe, -" not in plan
+        expected = [sum(d for s, d in zip(at, increase, strict=True) if t - 10 <= s <= t) / 10 for t in at]
+        assert [r.rate for r in found.orderBy("ts").collect()] == expected
