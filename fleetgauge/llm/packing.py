@@ -17,7 +17,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,11 @@ ENCODED_AT_ONCE = 2000
 MARK = re.compile(rb"[.,;:!?](?:(?<=[A-Za-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 
 
+#: Letters of which the tokenizer changes and parts nothing, and words of them alone.
+SMALL_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(f"[{SMALL_LETTERS}]+")
+
+
 class WordIds:
     """Token ids of words between white space. The tokenizer never looks across white space, so that a text's ids
     are its words' ids; each word is encoded once and then remembered."""
@@ -48,62 +53,89 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        in_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_level = {ord(c): in_bytes.pre_tokenize_str(c)[0][0] for c in SMALL_LETTERS}
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
+        #: A word that isn't there yet gets the next number.
+        self.index: defaultdict[str, int] = defaultdict()
+        self.index.default_factory = self.index.__len__
         self.pool = np.empty(0, dtype=np.uint32)
         self.bounds = np.zeros(1, dtype=np.int64)
 
     @staticmethod
-    def words(text: bytes) -> list[bytes]:
-        """Words, without the marks behind them, from which the tokenizer also parts letters and digits. It lower-cases
-        after composing letters and accents, so that ASCII letters may be lower-cased before where no accent stands
+    def parted(text: bytes) -> bytes:
+        """The text with words apart from the marks behind them, from which the tokenizer also parts letters and digits. It
+        lower-cases after composing letters and accents, so that ASCII letters may be lower-cased before where no accent stands
         by itself (U+0300 to U+036F). Special tokens are looked for before that and in small letters alone, so that a text
         in which one might be written some other way is left as it is."""
         if b"<|" in text:
-            return text.split()
+            return text
         if b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()
-        return MARK.sub(rb" \g<0>", text).split()
+        return MARK.sub(rb" \g<0>", text)
 
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has. The words are encoded as one text with blanks between them; an
         id belongs to the word that its characters begin in."""
-        text = b" ".join(words).decode()
+        text = " ".join(words)
         answer = self.tokenizer.encode(text, add_special_tokens=False)
         begins = np.fromiter((x for x, _ in answer.offsets), dtype=np.int64, count=len(answer))
-        behind = np.cumsum(np.fromiter(map(len, text.split(" ")), dtype=np.int64, count=len(words)) + 1)
+        behind = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
         return np.array(answer.ids, dtype=np.uint32), np.diff(np.searchsorted(begins, behind), prepend=0)
 
-    def learn(self, words: list[bytes]) -> None:
-        new = set(words).difference(self.index)
-        if len(self.index) + len(new) > REMEMBERED:
+    def encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of ``PLAIN`` letters, which normalising and splitting leave as they are: their bytes go
+        straight to the tokenizer's model."""
+        found = list(map(self.tokenizer.model.tokenize, " ".join(words).translate(self.byte_level).split(" ")))
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(words))
+        return np.fromiter((t.id for t in chain.from_iterable(found)), dtype=np.uint32, count=int(lengths.sum())), lengths
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word in ``bounds``; new ones are learned."""
+        at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        if len(self.index) > REMEMBERED and len(self.bounds) > 1:
             self.forget()
-            new = set(words)
+            return self.numbers(words)
+        self.learn()
+        return at
+
+    def learn(self) -> None:
+        """Encodes the words that have a number but no ids yet."""
+        new = list(islice(self.index, len(self.bounds) - 1, None))
         if not new:
             return
-        new = list(new)
-        first = len(self.index)
-        self.index.update(zip(new, range(first, first + len(new)), strict=True))
-        found = [self.encode(new[k:k + ENCODED_AT_ONCE]) for k in range(0, len(new), ENCODED_AT_ONCE)]
-        lengths = np.concatenate([n for _, n in found])
+        plain = np.fromiter((PLAIN.fullmatch(w) is not None for w in new), dtype=bool, count=len(new))
+        lengths, parts = np.empty(len(new), dtype=np.int64), []
+        for encode, at in ((self.encode_plain, np.flatnonzero(plain)), (self.encode, np.flatnonzero(~plain))):
+            for k in range(0, len(at), ENCODED_AT_ONCE):
+                ids, lengths[at[k:k + ENCODED_AT_ONCE]] = encode([new[i] for i in at[k:k + ENCODED_AT_ONCE].tolist()])
+                parts.append(ids)
+        # The ids lie in the order of encoding, the words in that of their numbers.
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        starts = np.empty(len(new), dtype=np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        self.pool = np.concatenate([self.pool, np.concatenate(parts)[ranges(starts, lengths)]])
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
-        self.pool = np.concatenate([self.pool, *(ids for ids, _ in found)])
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text."""
-        split = [self.words(t) for t in texts]
-        words = list(chain.from_iterable(split))
-        self.learn(words)
-        at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        split = pa.compute.ascii_split_whitespace(pa.array(map(self.parted, texts), type=pa.string()))
+        words = split.flatten().dictionary_encode()
+        at = self.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
         starts, lengths = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        ends = np.cumsum(lengths)
-        ids = self.pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        stops = np.cumsum([len(x) for x in split])
-        return np.split(ids, [int(ends[k - 1]) if k else 0 for k in stops[:-1]]) if texts else []
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return np.split(self.pool[ranges(starts, lengths)], ends[split.offsets.to_numpy()[1:-1]]) if texts else []
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",

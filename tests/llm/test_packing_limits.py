@@ -39,3 +39,23 @@ def test_null_ids_clashing_names_and_an_empty_table(spark):
     assert sorted((r["doc_id"] or 0, r["piece"], r["length"]) for r in found) == [
         (0, 0, 3), (0, 0, 3), (5, 0, 1), (5, 0, 2048), (5, 1, 2048), (5, 2, 905)]
     assert packing.pack_documents(docs.filter("false"), WORD_TOKENIZER).count() == 0
+
+
+def test_words_of_small_letters_go_straight_to_the_model(monkeypatch):
+    rng, tokenizer, words = random.Random(9), Tokenizer.from_file(WORD_TOKENIZER), packing.WordIds(WORD_TOKENIZER)
+    texts = [" ".join("".join(rng.choice(packing.SMALL_LETTERS) for _ in range(rng.randint(1, 14))) for _ in range(n)) for n in range(1, 60)]
+    texts += ["".join(c.upper() if c.isascii() else c for c in t) for t in texts]
+    monkeypatch.setattr(words, "encode", None)
+    found = words.of([t.encode() for t in texts])
+    assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_do_not_depend_on_white_space_or_on_what_is_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    rng, tokenizer, words = random.Random(10), Tokenizer.from_file(WORD_TOKENIZER), packing.WordIds(WORD_TOKENIZER)
+    parts = [*map(chr, range(0x21)), "\x7f", "\x85", "\xa0", " ", "﻿", *"abcßéÿÉ.,'1", "caño", "straße", "x's"]
+    for _ in range(100):
+        texts = ["", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(20))]
+        found = words.of([t.encode() for t in texts])
+        assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words.of([]) == []
