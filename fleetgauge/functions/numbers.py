@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # The hundredths of so many degrees no longer fit a bigint. ``normalize.rejected_readings`` names such readings.
 TEMPERATURE_LIMIT = 9.2e16
+# A sum of hundredths up to here stays a bigint when its average is scaled to ten thousandths.
+BIGINT_SUM = 90_000_000_000_000_000
 
 
 def passes_temperature_filter(temperature: Column | str) -> Column:
@@ -46,15 +48,22 @@ def centi_of_sum(total: Column | str) -> Column:
 def average_of(centi_sum: Column | str, count: Column | str) -> Column:
     """``sum / count`` in degrees to four decimals, half away from zero; 0.0 when nothing was counted.
 
-    Quotient and remainder are scaled apart, so that the sum itself is never multiplied.
+    Quotient and remainder are scaled apart, so that the sum itself is never multiplied. Sums up to ``BIGINT_SUM`` are
+    divided as bigints, which takes a fraction of the time of decimals.
     """
     s = F.col(centi_sum) if isinstance(centi_sum, str) else centi_sum
     n = F.nullif(F.col(count) if isinstance(count, str) else count, F.lit(0).cast("bigint"))
-    magnitude = F.abs(s)
-    whole = F.call_function("div", magnitude, n)
-    rest = magnitude % n
-    ten_thousandths = whole.cast("decimal(38,0)") * 100 + F.call_function("div", rest * 200 + n, n * 2)
-    return F.coalesce(F.signum(s) * ten_thousandths / 10000.0, F.lit(0.0))
+
+    def signed(total: Column, wide: str) -> Column:
+        magnitude = F.abs(total)
+        whole = F.call_function("div", magnitude, n)
+        rest = magnitude % n
+        ten_thousandths = whole.cast(wide) * 100 + F.call_function("div", rest * 200 + n, n * 2)
+        return F.signum(total) * ten_thousandths / 10000.0
+
+    small = s.try_cast("bigint")
+    mean = F.when(small.between(-BIGINT_SUM, BIGINT_SUM), signed(small, "bigint")).otherwise(signed(s, "decimal(38,0)"))
+    return F.coalesce(mean, F.lit(0.0))
 
 
 def floor_div(number: Column, divisor: int) -> Column:

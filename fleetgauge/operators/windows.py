@@ -119,8 +119,9 @@ def window_averages(
     size_us = config.size * 1_000_000
     on_size = F.unix_micros("window.start") % size_us == 0
     kinds = F.when(on_size, F.array(F.lit(TUMBLING), F.lit(HOPPING))).otherwise(F.array(F.lit(HOPPING)))
-    tagged = hopping_sums(normalized, config, keys).withColumn("_kind", F.explode(kinds))
-    return build_window_average(tagged, F.col("_kind"), computed_at, keys)
+    # Averages are computed once a window, before a tumbling one becomes two rows.
+    averages = build_window_average(hopping_sums(normalized, config, keys), kinds, computed_at, keys)
+    return averages.withColumn("window_type", F.explode("window_type"))
 
 
 def window_bounds_iso(averages: DataFrame) -> DataFrame:

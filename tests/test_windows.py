@@ -1,10 +1,13 @@
 import random
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from fleetgauge.config import DEFAULT_WINDOWS, DEMO_WINDOWS, WindowConfig
+from fleetgauge.functions import numbers
 from fleetgauge.functions.numbers import average_of, from_centi
 from fleetgauge.operators.normalize import normalize
 from fleetgauge.operators.windows import (
@@ -127,3 +130,28 @@ def test_expected_average(spark):
 def test_average_rounds_half_away_from_zero(spark):
     df = spark.sql("SELECT * FROM VALUES (1L, 8L), (-1L, 8L), (8000L, 3L), (0L, 0L), (9000000000000000000L, 1000000L) AS t(s, n)")
     assert [r[0] for r in df.select(average_of("s", "n")).collect()] == [0.0013, -0.0013, 26.6667, 0.0, 90000000000.0]
+
+
+def test_averages_are_computed_before_a_tumbling_window_becomes_two_rows(readings):
+    rows = normalize(readings((1, 20.0, "2026-07-18T08:00:05Z")))
+    plan = window_averages(rows, WindowConfig(30, 10))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("AS average_temperature")
+
+
+def test_average_of_sums_on_both_sides_of_the_bigint_path(spark):
+    edge = numbers.BIGINT_SUM
+    sums = [0, 1, 5, 149, 150, 151, edge - 1, edge, edge + 1, 2**63 - 1, 2**63, 10**20 + 7]
+    data = [(Decimal(sign * s), n) for s in sums for sign in (1, -1) for n in (None, 0, 1, 2, 3, 7, 200, 10**10 + 1)] + [(None, 3), (None, None)]
+    data = [(s, n) for s, n in data if abs(s or 0) < (n or 1) * 2**63]  # no reading, and so no average, is larger
+    wide = spark.createDataFrame(data, "s decimal(38,0), n bigint")
+    small = wide.where("s IS NULL OR abs(s) < 9223372036854775807").withColumn("s", F.col("s").cast("bigint"))
+
+    def mean(s, n):
+        if s is None or not n:
+            return 0.0
+        whole = (abs(int(s)) * 200 + n) // (2 * n)  # ten-thousandths, half away from zero
+        return float(whole) / 10000.0 * (1 if s >= 0 else -1)
+
+    for table in (wide, small):
+        for r in table.select("s", "n", numbers.average_of("s", "n").alias("mean")).collect():
+            assert r["mean"] == mean(r["s"], r["n"]), r
