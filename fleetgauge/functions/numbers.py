@@ -61,8 +61,8 @@ def average_of(centi_sum: Column | str, count: Column | str) -> Column:
         ten_thousandths = whole.cast(wide) * 100 + F.call_function("div", rest * 200 + n, n * 2)
         return F.signum(total) * ten_thousandths / 10000.0
 
-    small = s.try_cast("bigint")
-    mean = F.when(small.between(-BIGINT_SUM, BIGINT_SUM), signed(small, "bigint")).otherwise(signed(s, "decimal(38,0)"))
+    small = s.between(-BIGINT_SUM, BIGINT_SUM)
+    mean = F.when(small, signed(s.cast("bigint"), "bigint")).otherwise(signed(s, "decimal(38,0)"))
     return F.coalesce(mean, F.lit(0.0))
 
 
