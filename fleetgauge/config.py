@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -25,6 +26,10 @@ class WindowConfig:
         """Whether every window is a whole number of hops, so that hop-sized sums can be combined."""
         return self.size % self.step == 0
 
+    @property
+    def pane(self) -> int:
+        """The longest span that divides size and hop."""
+        return math.gcd(self.size, self.step)
 
     @classmethod
     def from_env(cls, environ: Mapping[str, str]) -> WindowConfig:

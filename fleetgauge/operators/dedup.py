@@ -45,14 +45,16 @@ def dedup_readings(
     """
     keyed = with_key(readings, keys)
     if readings.isStreaming:
-        keyed = keyed.where(F.col("event_time").isNotNull())
-        if clock is not None:
-            if at_once:
+        timed = F.col("event_time").isNotNull()
+        if at_once:
+            if clock is not None:
                 raise ValueError("markers are for results that wait for the watermark")
+            return keyed.where(timed).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
+        if clock is not None:
             keyed = keyed.unionByName(clock.select("event_time"), allowMissingColumns=True)
-        keyed = keyed.withWatermark("event_time", delay)
-        if at_once:
-            return keyed.dropDuplicatesWithinWatermark(list(keys))
+        # Behind the watermark, which it can't be pushed below: in front of it the filter would parse each text once more.
+        # Rows without an event time don't move the watermark.
+        keyed = keyed.withWatermark("event_time", delay).where(timed)
         # The watermark column has to be in the key; it follows from the timestamp text.
         groups = (*keys, "event_time")
     else:

@@ -116,11 +116,26 @@ def window_averages(
         return tumbling_average(normalized, config, computed_at, keys).unionByName(
             hopping_average(normalized, config, computed_at, keys)
         )
+    return averages_of_panes(pane_sums(normalized, config.pane, keys), config, computed_at, keys)
+
+
+def averages_of_panes(
+    panes: DataFrame,
+    config: WindowConfig = DEFAULT_WINDOWS,
+    computed_at: datetime | None = None,
+    keys: tuple[str, ...] = ("truck_id",),
+) -> DataFrame:
+    """The same averages from partial sums of panes that divide size and hop (``config.pane``)."""
+    sums = roll_up(panes, config.size, config.step, keys)
+    if not config.shares_panes:
+        return build_window_average(roll_up(panes, config.size, keys=keys), TUMBLING, computed_at, keys).unionByName(
+            build_window_average(sums, HOPPING, computed_at, keys)
+        )
     size_us = config.size * 1_000_000
     on_size = F.unix_micros("window.start") % size_us == 0
     kinds = F.when(on_size, F.array(F.lit(TUMBLING), F.lit(HOPPING))).otherwise(F.array(F.lit(HOPPING)))
     # Averages are computed once a window, before a tumbling one becomes two rows.
-    averages = build_window_average(hopping_sums(normalized, config, keys), kinds, computed_at, keys)
+    averages = build_window_average(sums, kinds, computed_at, keys)
     return averages.withColumn("window_type", F.explode("window_type"))
 
 

@@ -76,3 +76,36 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     if not files.rename(old, new):
         raise OSError(f"could not move {source} to {target}")
     return True
+
+
+def _hadoop(spark: SparkSession, location: str):
+    """The file system of a location, and its path there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def children(spark: SparkSession, location: str) -> list[str]:
+    """Names of the folders in a folder; none where it isn't there."""
+    files, path = _hadoop(spark, location)
+    return [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()] if files.exists(path) else []
+
+
+def make_folder(spark: SparkSession, location: str) -> None:
+    files, path = _hadoop(spark, location)
+    files.mkdirs(path)
+
+
+def remove(spark: SparkSession, location: str) -> None:
+    """Remove a folder and what is in it."""
+    files, path = _hadoop(spark, location)
+    files.delete(path, True)
+
+
+def small_text(spark: SparkSession, location: str) -> str:
+    """The text of a file of a few lines, read without a job."""
+    files, path = _hadoop(spark, location)
+    stream = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from fleetgauge.config import WindowConfig
 from fleetgauge.functions.payloads import decode, encode
 from fleetgauge.functions.times import parse_event_time
 from fleetgauge.operators.windows import window_bounds_iso
 from fleetgauge.schemas import AVERAGES_TOPIC, WINDOW_AVERAGE
-from fleetgauge.sources.logs import arrival_number, read_log, stream_log, write_log
+from fleetgauge.session import make_folder, small_text
+from fleetgauge.sources.logs import KAFKA, arrival_number, read_log, write_log
+from fleetgauge.streaming.windows import OpenWindows
 
 
 def encode_averages(averages: DataFrame) -> DataFrame:
@@ -54,11 +59,32 @@ def write_averages(
 
 
 def stream_averages(
-    averages: DataFrame,
+    readings: DataFrame,
     location: str,
     checkpoint: str,
+    config: WindowConfig,
     fmt: str = "parquet",
     topic: str = AVERAGES_TOPIC,
 ) -> DataStreamWriter:
-    """Writer of closed windows; start it with a trigger."""
-    return stream_log(encode_averages(averages), location, checkpoint, fmt, topic)
+    """Writer of closed windows of normalised readings that the duplicate filter has given out; start it with a trigger.
+
+    In files each batch owns one folder, named after the query and the batch, and replaces it, so a batch that is run
+    again after a failure leaves one copy. A log gets the batch at least once.
+    """
+    spark = readings.sparkSession
+    windows = OpenWindows(spark, checkpoint, config)
+    if fmt != KAFKA:
+        make_folder(spark, location)
+
+    def write_batch(given: DataFrame, batch: int) -> None:
+        def emit(closed: DataFrame) -> None:
+            if fmt == KAFKA:
+                write_log(encode_averages(closed), location, fmt, topic)
+            else:
+                query = json.loads(small_text(spark, f"{checkpoint}/metadata"))["id"]
+                encode_averages(closed).write.mode("overwrite").format(fmt).save(f"{location}/batch={query}-{batch}.{fmt}")
+
+        windows.add(given, batch, emit)
+
+    given = readings.select("truck_id", "event_time", "temperature_centi")
+    return given.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)

@@ -7,21 +7,27 @@ of their own and united with the readings before the watermark. No output ever h
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge.config import WindowConfig
+from fleetgauge.functions.times import instant
 
 MARKER = "event_time timestamp"
 # Watermarks are whole milliseconds, rounded down.
 _TICK = timedelta(milliseconds=1)
 
 
+def _markers(rows: DataFrame, at: datetime | None) -> DataFrame:
+    return rows.select((instant(at) if at else F.lit(None).cast("timestamp")).alias("event_time"))
+
+
 def open_clock(spark: SparkSession, location: str) -> None:
     """Make the folder of the markers, which has to be there when a stream starts. Markers in it stay."""
-    spark.createDataFrame([], MARKER).write.mode("append").parquet(location)
+    _markers(spark.range(0), None).write.mode("append").parquet(location)
 
 
 def clock_stream(spark: SparkSession, location: str) -> DataFrame:
@@ -30,8 +36,7 @@ def clock_stream(spark: SparkSession, location: str) -> DataFrame:
 
 def advance(spark: SparkSession, location: str, to: datetime) -> None:
     """Leave a marker. Older and repeated ones do nothing: the clock never goes back."""
-    at = to if to.tzinfo else to.replace(tzinfo=timezone.utc)
-    spark.createDataFrame([(at,)], MARKER).coalesce(1).write.mode("append").parquet(location)
+    _markers(spark.range(1, numPartitions=1), to).write.mode("append").parquet(location)
 
 
 def watermark_of(query: StreamingQuery) -> datetime | None:

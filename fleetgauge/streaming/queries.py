@@ -28,14 +28,21 @@ from fleetgauge.streaming.clock import advance, clock_stream, closing_time, open
 STATE_DELAY = "1 day"
 
 
-def averages_of(
+def readings_of(
     readings: DataFrame, config: WindowConfig = DEFAULT_WINDOWS, clock: DataFrame | None = None
 ) -> DataFrame:
-    """Readings to window averages. On a stream each window is emitted once, when the watermark, ``expires``
-    seconds behind the newest event time of readings and markers, has passed its end."""
+    """Readings to deduplicated and normalised ones. On a stream each is given out when the watermark, ``expires``
+    seconds behind the newest event time of readings and markers, has passed it."""
     timed = with_event_time(readings)
-    first = dedup_readings(timed, delay=seconds(config.expires), clock=clock)
-    return window_averages(normalize(first), config)
+    return normalize(dedup_readings(timed, delay=seconds(config.expires), clock=clock))
+
+
+def averages_of(
+    readings: DataFrame, config: WindowConfig = DEFAULT_WINDOWS, clock: DataFrame | None = None
+) -> DataFrame:
+    """Readings to window averages. On a stream each window is emitted once, when the watermark has passed its end;
+    its sums lie in the state store until then (``start_averages`` keeps them in files)."""
+    return window_averages(readings_of(readings, config, clock), config)
 
 
 def totals_of(readings: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
@@ -67,7 +74,8 @@ def start_averages(
     every: str | None = None,
     clock: DataFrame | None = None,
 ) -> StreamingQuery:
-    return run(stream_averages(averages_of(readings, config, clock), location, checkpoint, fmt), every=every)
+    """Write each window once, when the watermark has passed its end."""
+    return run(stream_averages(readings_of(readings, config, clock), location, checkpoint, config, fmt), every=every)
 
 
 def finish_averages(
