@@ -39,10 +39,15 @@ def advance(spark: SparkSession, location: str, to: datetime) -> None:
     _markers(spark.range(1, numPartitions=1), to).write.mode("append").parquet(location)
 
 
-def watermark_of(query: StreamingQuery) -> datetime | None:
-    """The latest watermark that the query has reported; None if it has seen no event time."""
-    seen = [p.eventTime.get("watermark") for p in query.recentProgress if p.eventTime]
-    found = [datetime.fromisoformat(w.replace("Z", "+00:00")) for w in seen if w]
+def watermark_of(query: StreamingQuery, config: WindowConfig) -> datetime | None:
+    """The latest watermark that the query has reported, or that its newest event time makes in the next batch; None if it
+    has seen no event time."""
+    def time(text: str) -> datetime:
+        return datetime.fromisoformat(text.replace("Z", "+00:00"))
+
+    seen = [p.eventTime for p in query.recentProgress if p.eventTime]
+    found = [time(e["watermark"]) for e in seen if e.get("watermark")]
+    found += [time(e["max"]) - timedelta(seconds=config.expires) for e in seen if e.get("max")]
     newest = max(found, default=None)
     return newest if newest and newest.timestamp() > 0 else None
 

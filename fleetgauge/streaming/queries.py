@@ -20,6 +20,7 @@ from fleetgauge.operators.fleet import fleet_latest
 from fleetgauge.operators.normalize import normalize, with_event_time
 from fleetgauge.operators.state import truck_totals
 from fleetgauge.operators.windows import window_averages
+from fleetgauge.session import setting
 from fleetgauge.sources.averages import stream_averages
 from fleetgauge.sources.changelog import stream_changelog
 from fleetgauge.streaming.clock import advance, clock_stream, closing_time, open_clock, watermark_of
@@ -99,9 +100,11 @@ def finish_averages(
     spark = readings.sparkSession
     open_clock(spark, clock)
     markers = clock_stream(spark, clock)
-    query = start_averages(readings, location, checkpoint, config, fmt, clock=markers)
+    # The next run's first batch closes what a batch without data would close at the end of this one.
+    with setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false"):
+        query = start_averages(readings, location, checkpoint, config, fmt, clock=markers)
     query.awaitTermination()
-    watermark = watermark_of(query)
+    watermark = watermark_of(query, config)
     if until is None and watermark is not None:
         until = closing_time(watermark, config)
     if until is not None:
